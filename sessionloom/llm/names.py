@@ -22,7 +22,7 @@ TITLES = {"sr", "sra", "srta", "srs", "sres", "senyor", "senyora", "senor", "sen
 CONNECTORS = {"i", "y", "e", "and", "de", "d", "del", "dels", "la", "l", "el", "els", "les", "los", "las", "per", "a", "al", "als", "of", "the"}
 # Hypocoristics that no clipping or diminutive explains.
 HYPOCORISTICS = {
-    "berto": "albert", "cati": "caterina", "cento": "vicenç", "cesc": "francesc", "chelo": "consol", "cinta": "jacinta", "conxa": "concepció", "conxita": "concepció",
+    "berto": "albert", "biel": "gabriel", "cati": "caterina", "cento": "vicenç", "cesc": "francesc", "chelo": "consol", "cinta": "jacinta", "conxa": "concepció", "conxita": "concepció",
     "laia": "eulàlia", "lali": "eulàlia", "lola": "dolors", "loles": "dolors", "maite": "maria teresa", "manel": "manuel", "manolo": "manuel", "mari": "maria",
     "merxe": "mercè", "mila": "milagros", "mingo": "domènec", "nando": "ferran", "nuri": "núria", "paco": "francesc", "pep": "josep", "pepa": "josepa", "pepe": "josep",
     "pitu": "josep", "rafel": "rafael", "sisco": "francesc", "siscu": "francesc", "tavi": "octavi", "txell": "meritxell", "uri": "oriol", "ximo": "joaquim", "xesc": "francesc",
@@ -56,7 +56,7 @@ def ratio(a: str, b: str) -> float:
 @dataclass(frozen=True)
 class Reading:
     tokens: tuple[str, ...]
-    titled: bool = False  # a title stands where the given name may be missing
+    titled: bool = False  # a title stands where the given name is missing
     organisation: bool = False
 
     @property
@@ -110,6 +110,7 @@ def read(name: str) -> Reading | None:
     titled = False
     while words and words[0].rstrip(".") in TITLES:
         words, titled = words[1:], True
+    titled = titled and sum(w not in CONNECTORS for w in words) <= 2
     tokens = tuple(w.rstrip(".") if len(w) == 2 else w for w in words if w.rstrip(".") not in CONNECTORS or len(w.rstrip(".")) == 1 and w.endswith("."))
     return Reading(tokens, titled, of or acronym) if tokens else None
 
@@ -126,7 +127,7 @@ def abbreviates(short: str, long: str) -> bool:
 @functools.lru_cache(maxsize=50_000)
 def short_for(short: str, long: str) -> bool:
     """Whether ``short`` is a familiar form of the given name ``long``: clipped, a diminutive, or a known one."""
-    if len(short) >= 3 and len(short) < len(long) and (long.startswith(short) or long.endswith(short)) and " " not in long[len(short) - 1 : len(short)]:
+    if len(short) >= 3 and " " not in short + long and len(short) < len(long) and (long.startswith(short) or long.endswith(short)):
         return True
     known = HYPOCORISTICS.get(short)
     if known and (fold(known) == long or fold(known) in long.split(" ")):
@@ -153,12 +154,16 @@ def given_match(a: str, b: str) -> bool:
         return True
     if (len(x) == 1) != (len(y) == 1):
         one, more = (x[0], y) if len(x) == 1 else (y[0], x)
-        return abbreviates(one, more[0]) and len(one) == 1 or short_for(one, " ".join(more)) or any(short_for(one, w) for w in more)
+        return abbreviates(one, more[0]) and len(one) == 1 or short_for(one, " ".join(more)) or any(one == w or short_for(one, w) for w in more)
     return False
 
 
 def typo(a: str, b: str, least: float) -> bool:
-    return min(len(a), len(b)) > 1 and a[-1] != "." and b[-1] != "." and ratio(a, b) >= least
+    """Two letters wrong, lost, added or swapped at most; short words may differ more in proportion."""
+    if min(len(a), len(b)) < 2 or "." in (a[-1], b[-1]):
+        return False
+    off = len(a) + len(b) - 2 * lcs(a, b)
+    return off <= 4 and 1 - off / (len(a) + len(b)) >= (least if max(len(a), len(b)) <= 5 else least + 0.1)
 
 
 @dataclass(frozen=True)
@@ -199,11 +204,13 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
         tail = t[-2:] if len(t) > 2 else t[-1:]
         k = surnames(s, tail[: len(s)]) if len(s) <= len(tail) else None
         return Link("part", score) if k else None
+    if b.titled and len(t) <= 2 or len(t[0]) == 1 and len(s[0]) > 1:
+        return None  # then b leaves out more than a does
     for given_len in range(1, max(2, len(t) - 1)):
         g, rest = " ".join(t[:given_len]), t[given_len:]
-        for own in range(1, max(2, len(s) - 0)):
+        for own in range(1, len(s)):
             h, mine = " ".join(s[:own]), s[own:]
-            if not mine or len(mine) > len(rest) or len(rest) > 2:
+            if not mine or len(mine) > len(rest) or len(rest) > 2 or own > given_len and len(mine) < 2:
                 continue
             k = surnames(mine, rest[: len(mine)])
             if k is None:
@@ -212,7 +219,7 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
             if h == g or given_match(h, g):
                 whole = k == "same" and len(mine) == len(rest) and not initial
                 return Link("same" if whole else "part", score)
-            if len(h) > 1 and word(h, g) and score >= total:
+            if own == given_len and score >= total and all(word(p, q) for p, q in zip(s[:own], t[:given_len], strict=True)):
                 return Link("same" if k == "same" and len(mine) == len(rest) else "part", score)
     return None
 
@@ -220,7 +227,7 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
 def _organisations(s: tuple[str, ...], t: tuple[str, ...], rare, least: float, score: float) -> Link | None:
     """Words pair in order; abbreviations count, and an acronym may stand for the first words."""
     def words(p: tuple[str, ...], q: tuple[str, ...]) -> bool:
-        return len(p) == len(q) and all(x == y or abbreviates(x, y) or abbreviates(y, x) or typo(x, y, least + 0.1) and rare(x, y) for x, y in zip(p, q, strict=True))
+        return len(p) == len(q) and all(x == y or abbreviates(x, y) or abbreviates(y, x) or typo(x, y, least) and rare(x, y) for x, y in zip(p, q, strict=True))
 
     if len(s) == len(t):
         off = sum(x != y for x, y in zip(s, t, strict=True))
