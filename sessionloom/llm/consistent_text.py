@@ -21,6 +21,8 @@ from sessionloom.llm.forms import BLANKS, LATIN_OF_CYRILLIC, LATIN_OF_GREEK, LOO
 
 FLAGS = ["styled", "combining", "invisible", "blank", "lookalike"]
 SCHEMA = "source_table string, row_id bigint, entry_no int, clean_text string, " + ", ".join(f"{f} boolean" for f in FLAGS)
+#: A character that no consistent text of these languages needs, or that needs a closer look; texts without one are consistent.
+SUSPECT = r"[^\x{20}-\x{7E}\n\r\x{A1}-\x{AC}\x{AE}-\x{FF}\x{2010}-\x{2023}\x{2026}]"
 #: Units written with a Greek letter and a Latin one are signs, not disguised words.
 UNITS = r"\b(?:[μΩΔσπλ]\p{Latin}{1,2}|[kMGm]Ω)\b"
 
@@ -74,8 +76,11 @@ def _consistent(batches: Iterator[pa.RecordBatch], only_cases: bool) -> Iterator
     m = macros()
     flags = ", ".join(f"{m[f]} AS {f}" for f in FLAGS)
     any_flag = " OR ".join(FLAGS)
+    suspect = f"regexp_matches(t, {_text(SUSPECT)})"
     query = f"""SELECT source_table, row_id, entry_no, {m['clean']} AS clean_text, {', '.join(FLAGS)}
-        FROM (SELECT *, {flags} FROM (SELECT *, CASE WHEN regexp_matches(t, '[^\\x00-\\x7F]|[\\x00-\\x09\\x0B-\\x1F]') THEN {m['nfc']} ELSE t END AS n FROM b)) {f'WHERE {any_flag}' if only_cases else ''}"""
+        FROM (SELECT *, {flags} FROM (SELECT *, {m['nfc']} AS n FROM b WHERE {suspect})) {f'WHERE {any_flag}' if only_cases else ''}"""
+    if not only_cases:
+        query += f" UNION ALL SELECT source_table, row_id, entry_no, t, {', '.join('false' for _ in FLAGS)} FROM b WHERE NOT {suspect}"
     for batch in batches:
         con.register("b", pa.Table.from_batches([batch]))
         out = con.sql(query).to_arrow_table()
