@@ -100,7 +100,7 @@ def judged(records: DataFrame, speakers: DataFrame, lexicon: DataFrame) -> DataF
     here = here.withColumn("turns", F.when(strip(last["speaker"]) == F.col("chair"), F.slice("text", F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(F.col("text")))
     own = F.filter("turns", lambda t: strip(t["speaker"]) == F.col("speaker"))
     here = here.withColumn("all_text", joined_text(F.col("turns"))).withColumn("own_text", joined_text(own))
-    here = here.withColumn("n_words", n_words(F.col("all_text"))).withColumn("own_words", n_words(F.col("own_text")))
+    here = here.withColumn("n_words", F.coalesce(n_words(F.col("all_text")), F.lit(0))).withColumn("own_words", F.coalesce(n_words(F.col("own_text")), F.lit(0)))
     cheap = here.select("record_id", "speaker", "urls_n", "n_words", "own_words", "own_text")
     scores = lexicon_scores(cheap.where("urls_n <= 1 and speaker is not null").select("record_id", F.col("own_text").alias("text")), lexicon, "record_id")
     share = F.when(F.col("n_words") > 0, F.col("own_words") / F.col("n_words")).otherwise(0.0)
