@@ -103,11 +103,11 @@ RECORD = T.StructType([
 
 
 def _yaml(content: str):
-    """A YAML document; tuples are read as lists and no other tag runs code."""
+    """A YAML document; tuples are read as lists, no other tag runs code, and plain scalars stay text (a session code looks like a number)."""
     import yaml
 
     class Loader(yaml.SafeLoader):
-        pass
+        yaml_implicit_resolvers = {c: [r for r in rs if r[0].endswith(":null")] for c, rs in yaml.SafeLoader.yaml_implicit_resolvers.items()}
 
     Loader.add_constructor("tag:yaml.org,2002:python/tuple", lambda loader, node: loader.construct_sequence(node, deep=True))
     return yaml.load(content, Loader=Loader)
