@@ -9,20 +9,27 @@ from pyspark.sql import functions as F
 CODE = r"^(\d{4})[^0-9A-Za-z]+(\d{1,2})[^0-9A-Za-z]+(\d{1,2})[^0-9A-Za-z]+0*(\d+)$"
 #: Clock times: h:m[:s], h.m[.s] and "h m s" with unit letters.
 CLOCK = r"^(\d{1,3})\s*[:.hH]\s*(\d{1,2})(?:\s*[:.mM]\s*(?:(\d{1,2})\s*[sS]?)?)?$"
+# Fixed value: blanks of any kind.
+BLANKS = " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def bare(c: Column) -> Column:
     """Without surrounding blanks of any kind; null where nothing is left."""
-    t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    return F.when(t != "", t)
+    return F.nullif(F.btrim(c, F.lit(BLANKS)), F.lit(""))
+
+
+def _parts(c: Column, pattern: str, groups: int, use) -> Column:
+    """``use`` of the array of the pattern's groups in the bare text, null where it doesn't fit; one pass of the pattern."""
+    to = "\u0001".join(f"${k}" for k in range(1, groups + 1))
+    fits = lambda p: F.size(p) == groups
+    split = F.split(F.regexp_replace(bare(c), pattern, to), "\u0001")
+    return F.get(F.transform(F.array(split), lambda p: F.when(fits(p), use(p))), F.lit(0))
 
 
 def session_code(c: Column) -> Column:
     """``yyyy_mm_dd_n``, n without leading zeros; null if the text is no code."""
-    t = bare(c)
-    part = lambda i: F.regexp_extract(t, CODE, i)
-    code = F.concat_ws("_", part(1), F.lpad(part(2), 2, "0"), F.lpad(part(3), 2, "0"), part(4))
-    return F.when(t.rlike(CODE), code)
+    two = lambda x: F.lpad(x, 2, "0")
+    return _parts(c, CODE, 4, lambda p: F.concat_ws("_", F.get(p, F.lit(0)), two(F.get(p, F.lit(1))), two(F.get(p, F.lit(2))), F.get(p, F.lit(3))))
 
 
 def code_key(c: Column) -> Column:
@@ -44,10 +51,11 @@ def clock_seconds(c: Column) -> Column:
 
     Times before 06:00:00 belong to the next day; hours from 24 on are meant literally.
     """
-    t = bare(c)
-    part = lambda i: F.regexp_extract(t, CLOCK, i)
-    h, m = part(1).cast("int"), part(2).cast("int")
-    s = F.when(part(3) == "", 0).otherwise(part(3).cast("int"))
-    total = h * 3600 + m * 60 + s
-    read = t.rlike(CLOCK) & (m < 60) & (s < 60)
-    return F.when(read, F.when(total < 6 * 3600, total + 86400).otherwise(total)).cast("int")
+
+    def seconds(p: Column) -> Column:
+        h, m = F.get(p, F.lit(0)).cast("int"), F.get(p, F.lit(1)).cast("int")
+        s = F.coalesce(F.nullif(F.get(p, F.lit(2)), F.lit("")).cast("int"), F.lit(0))
+        total = h * 3600 + m * 60 + s
+        return F.when((m < 60) & (s < 60), F.when(total < 6 * 3600, total + 86400).otherwise(total))
+
+    return _parts(c, CLOCK, 3, seconds).cast("int")
