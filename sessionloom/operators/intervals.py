@@ -17,12 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionloom.tables import written
+
 BLOCK = 900
 
 
-def _ranked(times: DataFrame, block: int) -> DataFrame:
-    """(entity, t) -> distinct t with the ranks first_rank..last_rank of its copies."""
-    n = times.groupBy("entity", "t").agg(F.count("*").alias("n")).withColumn("b", F.floor(F.col("t") / block))
+def _events(intervals: DataFrame, block: int) -> DataFrame:
+    """(entity, t, starts, ends, b) of the valid intervals: how many start and end at t. Written, as four branches read it."""
+    ok = intervals.select("entity", "start_s", "end_s").where("entity is not null and end_s >= start_s")
+    both = F.explode(F.array(F.struct(F.col("start_s").alias("t"), F.lit(1).alias("s"), F.lit(0).alias("e")), F.struct(F.col("end_s").alias("t"), F.lit(0).alias("s"), F.lit(1).alias("e"))))
+    at = ok.select("entity", both.alias("x")).groupBy("entity", F.col("x.t").alias("t")).agg(F.sum("x.s").alias("starts"), F.sum("x.e").alias("ends"))
+    return written(at.withColumn("b", F.floor(F.col("t") / block)), "interval-events")
+
+
+def _ranked(events: DataFrame, count: str) -> DataFrame:
+    """(entity, t) -> distinct t with the ranks first_rank..last_rank of its copies, counted by the column ``count``."""
+    n = events.where(F.col(count) > 0).select("entity", "t", "b", F.col(count).alias("n"))
     inside = Window.partitionBy("entity", "b").orderBy("t")
     upto = Window.partitionBy("entity").orderBy("b")
     blocks = n.groupBy("entity", "b").agg(F.sum("n").alias("in_block"))
@@ -34,9 +44,9 @@ def _ranked(times: DataFrame, block: int) -> DataFrame:
 
 def _pairs(intervals: DataFrame, block: int, how: str) -> DataFrame:
     """(entity, k, s, e): the start s that follows k starts, and the end e of rank k."""
-    ok = intervals.select("entity", "start_s", "end_s").where("entity is not null and end_s >= start_s")
-    starts = _ranked(ok.select("entity", F.col("start_s").alias("t")), block).select("entity", (F.col("first_rank") - 1).alias("k"), F.col("t").alias("s"))
-    ends = _ranked(ok.select("entity", F.col("end_s").alias("t")), block).select("entity", F.col("last_rank").alias("k"), F.col("t").alias("e"))
+    events = _events(intervals, block)
+    starts = _ranked(events, "starts").select("entity", (F.col("first_rank") - 1).alias("k"), F.col("t").alias("s"))
+    ends = _ranked(events, "ends").select("entity", F.col("last_rank").alias("k"), F.col("t").alias("e"))
     return starts.join(ends, ["entity", "k"], how)
 
 
