@@ -24,7 +24,7 @@ SCHEMA = "source_table string, row_id bigint, entry_no int, clean_text string, "
 #: A character that no consistent text of these languages needs, or that needs a closer look; texts without one are consistent.
 SUSPECT = r"[^\x{20}-\x{7E}\n\r\x{A1}-\x{AC}\x{AE}-\x{FF}\x{2010}-\x{2023}\x{2026}]"
 #: Units written with a Greek letter and a Latin one are signs, not disguised words.
-UNITS = r"\b(?:[μΩΔσπλ]\p{Latin}{1,2}|[kMGm]Ω)\b"
+UNITS = r"[μΩΔσπλ]\p{Latin}{1,2}|[kMGm]Ω"
 
 
 def _class(chars: str) -> str:
@@ -47,6 +47,7 @@ def macros() -> dict[str, str]:
     single = {k: v for k, v in styled().items() if len(v) == 1}
     several = {k: v for k, v in styled().items() if len(v) > 1}
     look, like = LOOKALIKE_CYRILLIC + LOOKALIKE_GREEK, LATIN_OF_CYRILLIC + LATIN_OF_GREEK
+    alone = rf"(^|[^\p{{L}}\p{{M}}])(?:{UNITS})([^\p{{L}}\p{{M}}]|$)"
     other, word = r"[\p{Greek}\p{Cyrillic}]", r"[\p{L}\p{M}]+"
     spelled = f"translate(t, {_text(''.join(single))}, {_text(''.join(single.values()))})"
     for k, v in several.items():
@@ -61,11 +62,11 @@ def macros() -> dict[str, str]:
         "invisible": f"regexp_matches(t, {_text(_class(invisible()))})",
         "blank": f"regexp_matches(t, {_text(_class(BLANKS))})",
         # invisible characters and styled letters must not hide that a word is mixed
-        "lookalike": f"regexp_matches(regexp_replace(n, {_text(UNITS)}, '', 'g'), {_text(mixed)})",
+        "lookalike": f"regexp_matches(regexp_replace(n, {_text(alone)}, {_text(chr(92) + '1 ' + chr(92) + '2')}, 'g'), {_text(mixed)})",
         "nfc": nfc,
-        "clean": f"""CASE WHEN regexp_matches(n, {_text(other)}) THEN array_to_string(list_transform(
+        "clean": f"""CASE WHEN regexp_matches(n, {_text(other)}) THEN nfc_normalize(array_to_string(list_transform(
             regexp_extract_all(n, {_text(word + '|[^' + chr(92) + 'p{L}' + chr(92) + 'p{M}]+')}), lambda w: CASE WHEN regexp_matches(w, {_text(mixed)}) AND NOT regexp_full_match(w, {_text(UNITS)})
-            THEN translate(w, {_text(look)}, {_text(like)}) ELSE w END), '') ELSE n END""",
+            THEN translate(w, {_text(look)}, {_text(like)}) ELSE w END), '')) ELSE n END""",
     }
 
 

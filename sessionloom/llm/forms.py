@@ -51,8 +51,8 @@ def invisible() -> str:
 
 
 LOOKALIKES = dict(zip(LOOKALIKE_CYRILLIC + LOOKALIKE_GREEK, LATIN_OF_CYRILLIC + LATIN_OF_GREEK, strict=True))
-_WORD = re.compile(r"[^\W\d_]+")
-_LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]")
+_WORD = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+")
+_LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u1e00-\u1eff]")
 _OTHER = re.compile("[Ͱ-ϿЀ-ԯ]")
 _SUSPECT = re.compile("[^\x20-\x7e\n\xa1-\xac\xae-\xff‐-‧]")
 
@@ -72,4 +72,4 @@ def canonical(text: str) -> str:
     if not _SUSPECT.search(text):
         return text
     text = unicodedata.normalize("NFC", text.translate(_table()))
-    return _WORD.sub(_latin_word, text) if _OTHER.search(text) else text
+    return unicodedata.normalize("NFC", _WORD.sub(_latin_word, text)) if _OTHER.search(text) else text

@@ -25,7 +25,7 @@ from sessionloom.llm.names import compare, fold, inner, is_chair, read
 CHAIR_SPEAKER = "mesa"
 SCHEMA = "record_id bigint, turn_no int, speaker string, text string"
 _CLOCK = r"(?:(\d{1,3}):)?(\d{1,3}):(\d{2})(?:[.,](\d{1,3}))?"
-_STAMP = re.compile(rf"^\s*[\[(]?\s*(?:{_CLOCK}|(?:(\d+)\s*h\s*)?(\d+)\s*m\s*(\d+)\s*s)\s*[\])]?(?:\s*-->\s*{_CLOCK.replace('(', '(?:').replace('(?:?:', '(?:')})?(?:\s+[-–—](?=\s|$))?\s*")
+_STAMP = re.compile(rf"^\s*[\[(]?\s*(?:{_CLOCK}|(?:(\d+)\s*h\s*)?(\d+)\s*m\s*(\d+)\s*s)(?:\s*[\])])?(?:\s*-->\s*{_CLOCK.replace('(', '(?:').replace('(?:?:', '(?:')})?(?:\s+[-–—](?=\s|$))?\s*")
 _INLINE = re.compile(r"\s+(?=(?:>>|[—–])\s*[^:\n]{2,90}:)")
 _LABEL = re.compile(r"^\s*(>>|[—–-]\s)?\s*([^:\n]{2,90}?)\s*:(?=\s|$)\s*")
 # Hesitations (after folding); letters may be held.
