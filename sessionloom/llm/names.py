@@ -111,6 +111,10 @@ def read(name: str) -> Reading | None:
     while words and words[0].rstrip(".") in TITLES:
         words, titled = words[1:], True
     titled = titled and sum(w not in CONNECTORS for w in words) <= 2
+    raw = _TOKEN.findall(s.replace("·", "").replace("-", " ").replace("'", " ").replace("’", " "))
+    if s not in (s.lower(), s.upper()) and len(raw) >= len(words):  # a small word in lower case is a connector, even misspelt
+        small = [r.islower() and (len(r) == 1 or len(r) <= 4 and any(ratio(r, c) >= (0.5 if r[0] == c[0] else 0.6) for c in ("de", "del", "dels", "la", "les", "els", "per"))) for r in raw[len(raw) - len(words) :]]
+        words = [w for w, drop in zip(words, small, strict=True) if not drop]
     tokens = tuple(w.rstrip(".") if len(w) == 2 else w for w in words if w.rstrip(".") not in CONNECTORS or len(w.rstrip(".")) == 1 and w.endswith("."))
     return Reading(tokens, titled, of or acronym) if tokens else None
 
