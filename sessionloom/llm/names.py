@@ -162,6 +162,11 @@ def given_match(a: str, b: str) -> bool:
     return False
 
 
+def slip(a: str, b: str) -> bool:
+    """One letter lost or doubled in a long word, too small a difference for two words of one name."""
+    return min(len(a), len(b)) >= 5 and "." not in (a[-1], b[-1]) and len(a) + len(b) - 2 * lcs(a, b) <= 1
+
+
 def typo(a: str, b: str, least: float) -> bool:
     """Two letters wrong, lost, added or swapped at most; short words may differ more in proportion."""
     if min(len(a), len(b)) < 2 or "." in (a[-1], b[-1]):
@@ -190,7 +195,10 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
         return None
 
     def word(p: str, q: str) -> bool:
-        return p == q or typo(p, q, least) and rare(p, q)
+        return p == q or slip(p, q) or typo(p, q, least) and rare(p, q)
+
+    def near(p: tuple[str, ...], q: tuple[str, ...]) -> float:
+        return ratio(" ".join(p), " ".join(q))
 
     def surnames(ps: tuple[str, ...], qs: tuple[str, ...]) -> str | None:
         """'same', 'part' (an initial stands for a surname), or None."""
@@ -207,7 +215,7 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
             return Link("same", score) if s == t else None
         tail = t[-2:] if len(t) > 2 else t[-1:]
         k = surnames(s, tail[: len(s)]) if len(s) <= len(tail) else None
-        return Link("part", score) if k else None
+        return Link("part", near(s, tail[: len(s)])) if k else None
     if b.titled and len(t) <= 2 or len(t[0]) == 1 and len(s[0]) > 1:
         return None  # then b leaves out more than a does
     for given_len in range(1, max(2, len(t) - 1)):
@@ -222,16 +230,17 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
             initial = len(s[0]) == 1
             if h == g or given_match(h, g):
                 whole = k == "same" and len(mine) == len(rest) and not initial
-                return Link("same" if whole else "part", score)
-            if own == given_len and score >= total and all(word(p, q) for p, q in zip(s[:own], t[:given_len], strict=True)):
-                return Link("same" if k == "same" and len(mine) == len(rest) else "part", score)
+                return Link("same", score) if whole else Link("part", near(mine, rest[: len(mine)]))
+            exact = mine == rest
+            if own == given_len and score >= total and all(word(p, q) or exact and ratio(p, q) >= least and rare(p, q) for p, q in zip(s[:own], t[:given_len], strict=True)):
+                return Link("same", score) if k == "same" and len(mine) == len(rest) else Link("part", near(mine, rest[: len(mine)]))
     return None
 
 
 def _organisations(s: tuple[str, ...], t: tuple[str, ...], rare, least: float, score: float) -> Link | None:
     """Words pair in order; abbreviations count, and an acronym may stand for the first words."""
     def words(p: tuple[str, ...], q: tuple[str, ...]) -> bool:
-        return len(p) == len(q) and all(x == y or abbreviates(x, y) or abbreviates(y, x) or typo(x, y, least) and rare(x, y) for x, y in zip(p, q, strict=True))
+        return len(p) == len(q) and all(x == y or abbreviates(x, y) or abbreviates(y, x) or slip(x, y) or typo(x, y, least) and rare(x, y) for x, y in zip(p, q, strict=True))
 
     if len(s) == len(t):
         off = sum(x != y for x, y in zip(s, t, strict=True))
