@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.forms import BLANKS, LATIN_OF_CYRILLIC, LATIN_OF_GREEK, LOOKALIKE_CYRILLIC, LOOKALIKE_GREEK, invisible, styled
+from sessionloom.llm.forms import BLANKS, LOOKALIKES, invisible, styled
 
 FLAGS = ["styled", "combining", "invisible", "blank", "lookalike"]
 SCHEMA = "source_table string, row_id bigint, entry_no int, clean_text string, " + ", ".join(f"{f} boolean" for f in FLAGS)
@@ -46,7 +46,7 @@ def macros() -> dict[str, str]:
     """SQL expressions over a text ``t``: one flag each, and ``clean``."""
     single = {k: v for k, v in styled().items() if len(v) == 1}
     several = {k: v for k, v in styled().items() if len(v) > 1}
-    look, like = LOOKALIKE_CYRILLIC + LOOKALIKE_GREEK, LATIN_OF_CYRILLIC + LATIN_OF_GREEK
+    look, like = "".join(LOOKALIKES), "".join(LOOKALIKES.values())
     alone = rf"(^|[^\p{{L}}\p{{M}}])(?:{UNITS})([^\p{{L}}\p{{M}}]|$)"
     other, word = r"[\p{Greek}\p{Cyrillic}]", r"[\p{L}\p{M}]+"
     spelled = f"translate(t, {_text(''.join(single))}, {_text(''.join(single.values()))})"

@@ -50,7 +50,20 @@ def invisible() -> str:
     return "".join(c for c in hidden if c not in BLANKS + SOFT_HYPHEN + "\n\r" and not 0x600 <= ord(c) <= 0x605) + INVISIBLE_EXTRA
 
 
-LOOKALIKES = dict(zip(LOOKALIKE_CYRILLIC + LOOKALIKE_GREEK, LATIN_OF_CYRILLIC + LATIN_OF_GREEK, strict=True))
+
+
+def _accented(pairs: dict[str, str]) -> dict[str, str]:
+    """The look-alikes and their composed forms with one accent."""
+    out = dict(pairs)
+    for a, b in pairs.items():
+        for mark in "\u0300\u0301\u0302\u0303\u0308\u0327":
+            x, y = unicodedata.normalize("NFC", a + mark), unicodedata.normalize("NFC", b + mark)
+            if len(x) == len(y) == 1:
+                out[x] = y
+    return out
+
+
+LOOKALIKES = _accented(dict(zip(LOOKALIKE_CYRILLIC + LOOKALIKE_GREEK, LATIN_OF_CYRILLIC + LATIN_OF_GREEK, strict=True)))
 _WORD = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+")
 _LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u1e00-\u1eff]")
 _OTHER = re.compile("[Ͱ-ϿЀ-ԯ]")
