@@ -54,7 +54,7 @@ def block_slices(spark: SparkSession, d: str) -> DataFrame:
 def metadata_sequence(spark: SparkSession, d: str) -> DataFrame:
     """Interventions of each code by start, then position: (session, pos, names, media_url, chair applied)."""
     i = load(spark, d, "interventions", "ple_code", "pos", "start", "intervinent", "media_url", "intervention_id").where("ple_code is not null and intervinent is not null and size(intervinent) > 0")
-    i = i.dropDuplicates(["ple_code", "intervention_id"]).withColumnRenamed("ple_code", "session")
+    i = i.distinct().withColumnRenamed("ple_code", "session")
     each = i.select("session", F.struct("start", "pos", "intervention_id").alias("at"), F.posexplode("intervinent").alias("k", "speaker"))
     names = each.select("session", F.struct("at", "k").alias("pos"), "speaker")
     chairs = runs.chair(names)
@@ -225,6 +225,13 @@ SELECT e.session, CASE WHEN f = m OR f = l THEN f WHEN l = m THEN l WHEN contain
     "ref_blocks": f"WITH {_SEQ}, {_BLOCKS} SELECT * FROM blocks",
     "ref_block_slices": f"""WITH {_SEQ}, {_BLOCKS} SELECT b.session, block_no, count(*) AS n_rows, string_agg(s.speaker, '; ' ORDER BY s.pos) AS speakers
 FROM blocks b JOIN seq s ON s.session = b.session AND s.pos BETWEEN b.start AND b."end" GROUP BY b.session, block_no""",
+    "ref_metadata_speakers": """WITH i AS (SELECT DISTINCT ple_code AS session, start, pos, intervention_id, intervinent, media_url FROM interventions WHERE ple_code IS NOT NULL AND len(intervinent) > 0),
+e AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY start NULLS FIRST, pos NULLS FIRST, intervention_id, k) AS at_pos FROM (SELECT session, start, pos, intervention_id, intervinent[k] AS n, k FROM (SELECT *, unnest(range(1, len(intervinent) + 1)) AS k FROM i) x) y WHERE n IS NOT NULL),
+m AS (SELECT session, n AS m FROM (SELECT session, n, row_number() OVER (PARTITION BY session ORDER BY count(*) DESC, min(at_pos)) AS r FROM e GROUP BY session, n) c WHERE r = 1),
+c AS (SELECT f.session, CASE WHEN f = m OR f = l THEN f WHEN l = m THEN l WHEN contains(lower(f), 'parlament') THEN f WHEN contains(lower(l), 'parlament') THEN l ELSE m END AS chair
+  FROM (SELECT session, arg_min(n, at_pos) AS f, arg_max(n, at_pos) AS l FROM e GROUP BY session) f JOIN m ON m.session = f.session),
+s AS (SELECT i.session, intervention_id, list_transform(intervinent, lambda n: CASE WHEN contains(n, chair) THEN 'mesa' ELSE replace(trim(split_part(n, '|', 1), ' ' || chr(160)), chr(160), ' ') END) AS names FROM i JOIN c ON c.session = i.session)
+SELECT session, intervention_id, CASE WHEN len(names) = 1 OR list_position(names, 'mesa') IS NULL OR list_position(names, 'mesa') <> 1 THEN names[1] ELSE names[2] END AS speaker FROM s""",
     "ref_sorted_interventions": """SELECT ple_code, intervention_id, row_number() OVER (PARTITION BY ple_code ORDER BY start ASC NULLS FIRST, pos, intervention_id) AS place
 FROM (SELECT DISTINCT ple_code, intervention_id, start, pos FROM interventions WHERE ple_code IS NOT NULL) i""",
     "ref_alias_names": f"""WITH {_TURNS} SELECT DISTINCT speaker, trim(regexp_extract(speaker, '(.+)\\((.+)\\)', 1)) AS title, trim(regexp_extract(speaker, '(.+)\\((.+)\\)', 2)) AS name
@@ -236,6 +243,10 @@ SELECT ple_code, _id AS session_id, 'code' AS "by" FROM c
 UNION SELECT t.ple_code, s._id, 'date' FROM t JOIN s ON s.date = t.ple_code[9:10] || '/' || t.ple_code[6:7] || '/' || t.ple_code[1:4] WHERE t.ple_code NOT IN (SELECT ple_code FROM c)""",
     "ref_insert_if_absent": "SELECT DISTINCT md5(url) AS _id, url FROM sessions WHERE url <> '' AND md5(url) NOT IN (SELECT md5(url) FROM sessions WHERE registered_at < TIMESTAMP '2015-01-01')",
     "ref_code_forms": "SELECT DISTINCT _id, ple_code[9:10] || '/' || ple_code[6:7] || '/' || ple_code[1:4] AS code_date, date[7:10] || '_' || date[4:5] || '_' || date[1:2] AS date_code FROM sessions WHERE ple_code IS NOT NULL",
+    "ref_block_pairs": f"""WITH first_seq AS (SELECT session, row_number() OVER (PARTITION BY session ORDER BY pos, speaker) - 1 AS pos, speaker FROM (SELECT DISTINCT session, pos, speaker FROM speaker_seq WHERE speaker IS NOT NULL) s),
+seq AS (SELECT 'a' || session AS session, pos, speaker FROM first_seq UNION ALL SELECT 'b' || session, pos - 1, speaker FROM first_seq WHERE pos > 0), {_BLOCKS},
+a AS (SELECT session[2:] AS session, block_no, speaker FROM blocks WHERE session[1] = 'a'), b AS (SELECT session[2:] AS session, block_no, speaker FROM blocks WHERE session[1] = 'b')
+SELECT coalesce(a.session, b.session) AS session, coalesce(a.block_no, b.block_no) AS row_no, a.speaker AS left_speaker, b.speaker AS right_speaker FROM a FULL JOIN b ON a.session = b.session AND a.block_no = b.block_no""",
     "ref_dictionary_codes": f"""WITH {_SEQ}, {_BLOCKS}, names AS (SELECT session, speaker, dense_rank() OVER (PARTITION BY session ORDER BY speaker) - 1 AS idx FROM seq WHERE speaker <> 'mesa')
 SELECT DISTINCT b.session, block_no, idx FROM blocks b JOIN names n ON n.session = b.session AND n.speaker = b.speaker""",
     "ref_name_sets": f"""WITH {_SEQ}, t AS (SELECT DISTINCT speaker AS name FROM seq), m AS (SELECT DISTINCT n AS name FROM (SELECT unnest(intervinent) AS n FROM interventions) i WHERE n IS NOT NULL)
