@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.functions.codes import record_key, zero_padded
+from sessionloom.functions.codes import record_key, stem, zero_padded
 
 ATTEMPTS, WAIT_S = 3, 1.0
 
@@ -55,6 +55,26 @@ def sentences_file(rows: DataFrame, path: str) -> None:
     rows.select("text").write.mode("overwrite").text(path)
 
 
+def text_files(rows: DataFrame, folder: str) -> DataFrame:
+    """(session, record, audio, text) -> (path, size): one file <session>-<record>-<audio>.txt a row, written in the tasks; one that exists stays."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for name, text in zip(b["name"], b["text"], strict=True):
+                path = Path(folder, name)
+                if not path.exists():
+                    path.parent.mkdir(parents=True, exist_ok=True)
+                    part = path.with_name(f"{name}.part")
+                    part.write_text(text, encoding="utf-8")
+                    part.rename(path)
+                out.append((str(path), path.stat().st_size))
+            yield pd.DataFrame(out, columns=["path", "size"])
+
+    named = rows.where("text is not null").select(F.concat(F.concat_ws("-", "session", stem(F.col("record")), stem(F.col("audio"))), F.lit(".txt")).alias("name"), "text")
+    return named.mapInPandas(run, "path string, size bigint")
+
+
 def kept_and_deleted(lines: DataFrame, path: str) -> None:
     """Lines with ``kept`` to two folders of one table, in one pass."""
     lines.write.mode("overwrite").partitionBy("kept").parquet(path)

@@ -100,6 +100,12 @@ def test_text_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3 and (tmp_path / "p" / "ple_code=c2").exists()
 
 
+def test_one_file_a_record(spark, tmp_path):
+    df = spark.createDataFrame([("s1", "text/01.yaml", "a/b/x.mp3", "hola"), ("s1", "text/02.yaml", "a/b/y.mp3", None)], "session string, record string, audio string, text string")
+    for _ in range(2):
+        assert [tuple(r) for r in sinks.text_files(df, str(tmp_path / "f")).collect()] == [(f"{tmp_path}/f/s1-01-x.txt", 4)]
+
+
 def test_downloads(spark, tmp_path):
     (tmp_path / "src.bin").write_bytes(b"12345")
     wanted = [(f"file://{tmp_path}/src.bin", f"{tmp_path}/o/a/x.mp3"), (f"file://{tmp_path}/none", f"{tmp_path}/o/y.mp3"), ("file:///x", f"{tmp_path}/o/z.wav")]
