@@ -24,22 +24,55 @@ def name_key(c: Column) -> Column:
     return ascii_fold(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")))
 
 
-def _ratio(a: str, b: str) -> int:
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one big-integer step a character."""
+    if a == b:
+        return len(a)
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
+def _ratio(a: str, b: str, over: int) -> int:
+    """Matching-blocks ratio of 0..100; 0 if it can't exceed ``over``, as matching blocks are a common subsequence."""
+    n = len(a) + len(b)
+    if not a or not b or round(200 * min(len(a), len(b)) / n) <= over or round(200 * common_subsequence(a, b) / n) <= over:
+        return 0
     return round(100 * SequenceMatcher(None, a, b, autojunk=False).ratio())
 
 
 @functools.lru_cache(maxsize=100_000)
-def token_set_similarity(a: str, b: str) -> int:
-    """0..100: the best ratio among the shared tokens and each side's sorted tokens that begin with them."""
-    x, y = (set(re.sub(r"[\W_]+", " ", s.lower()).split()) for s in (a, b))
+def _tokens(s: str) -> frozenset[str]:
+    return frozenset(re.sub(r"[\W_]+", " ", s.lower()).split())
+
+
+def token_set_similarity(a: str, b: str, over: int = -1) -> int:
+    """0..100: the best ratio among the shared tokens and each side's sorted tokens that begin with them; 0 if not above ``over``."""
+    x, y = _tokens(a), _tokens(b)
     if not x or not y:
         return 0
     shared = " ".join(sorted(x & y))
     left, right = (" ".join(filter(None, (shared, " ".join(sorted(s - o))))) for s, o in ((x, y), (y, x)))
-    return max([_ratio(left, right), *([_ratio(shared, left), _ratio(shared, right)] if shared else [])])
+    best = max([_ratio(left, right, over), *([_ratio(shared, left, over), _ratio(shared, right, over)] if shared else [])])
+    return best if best > over else 0
 
 
 @F.pandas_udf(IntegerType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Token-set similarity of two names; null or blank names have 0."""
     return pd.Series([token_set_similarity(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
+
+
+def similarity_over(a: Column, b: Column, over: int) -> Column:
+    """The token-set similarity where it is above ``over``, else 0; far cheaper than the similarity of every pair."""
+
+    @F.pandas_udf(IntegerType())
+    def score(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([token_set_similarity(p or "", q or "", over) for p, q in zip(x, y, strict=True)], dtype="int32")
+
+    return score(a, b)

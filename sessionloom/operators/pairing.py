@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.functions.fuzzy import name_key, token_set_ratio
+from sessionloom.functions.fuzzy import name_key, similarity_over
 from sessionloom.functions.text import strip, title_and_name, without_tags
+from sessionloom.tables import written
 
 PAUSE = "mesa"
 # Similarity thresholds (strictly above) of the first pass, the aliases, the rest, and a doubtful pair.
@@ -35,7 +36,9 @@ def apply_aliases(seq: DataFrame, alias: DataFrame, key: str = "session") -> Dat
 
 def _best(pairs: DataFrame, threshold: int, key: str) -> DataFrame:
     """Each metadata name with its best text name above the threshold; ties go to the lesser name."""
-    scored = pairs.withColumn("score", token_set_ratio(F.lower("text_name"), F.lower("meta_name"))).where(F.col("score") > threshold)
+    # So many tasks, as a few bytes of names make far more pairs than the planner expects.
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = pairs.repartition(tasks, key, "meta_name").withColumn("score", similarity_over(F.lower("text_name"), F.lower("meta_name"), threshold)).where(F.col("score") > 0)
     return scored.groupBy(key, "meta_name").agg(F.min_by("text_name", F.struct(-F.col("score"), "text_name")).alias("text_name")).select(key, "text_name", "meta_name")
 
 
@@ -45,18 +48,18 @@ def match_names(text: DataFrame, meta: DataFrame, alias: DataFrame, key: str = "
     Names are distinct per session before they are scored and only the names of one session meet, so the pairs
     are bounded by the speakers of a session. A text name may take several metadata names, not the reverse.
     """
-    t = text.select(key, F.col("speaker").alias("text_name")).where("text_name is not null").distinct()
-    m = meta.select(key, F.col("speaker").alias("meta_name")).where("meta_name is not null").distinct()
+    t = written(text.select(key, F.col("speaker").alias("text_name")).where("text_name is not null").distinct(), "text-names")
+    m = written(meta.select(key, F.col("speaker").alias("meta_name")).where("meta_name is not null").distinct(), "meta-names")
     chairs = t.where(F.col("text_name") == PAUSE).join(m.where(F.col("meta_name") == PAUSE), key).select(key, "text_name", "meta_name")
     t1, m1 = (x.join(chairs, [key, c], "left_anti") for x, c in ((t, "text_name"), (m, "meta_name")))
     first = _best(t1.join(m1, key), FIRST, key)
-    done = chairs.unionByName(first)
+    done = written(chairs.unionByName(first), "matches-first")  # three later steps read it
     t2 = t.join(done, [key, "text_name"], "left_anti").withColumn("k", name_key(F.col("text_name")))
     titled = t2.where(~F.col("k").contains("mesa") & ~F.col("k").contains("president")).join(alias, key)
-    likely = titled.withColumn("score", token_set_ratio("k", "alias")).where(F.col("score") > ALIAS)
+    likely = titled.withColumn("score", similarity_over(F.col("k"), F.col("alias"), ALIAS)).where(F.col("score") > 0)
     likely = likely.join(done.select(key, F.col("text_name").alias("name"), "meta_name"), [key, "name"])
     by_alias = likely.groupBy(key, "text_name").agg(F.min_by("meta_name", F.struct(-F.col("score"), "name", "meta_name")).alias("meta_name"))
-    known = done.unionByName(by_alias)
+    known = written(done.unionByName(by_alias), "matches-known")
     t3, m3 = t.join(known, [key, "text_name"], "left_anti"), m.join(known, [key, "meta_name"], "left_anti")
     return known.unionByName(_best(t3.join(m3, key), REST, key))
 
@@ -192,7 +195,7 @@ def side_by_side(left_blocks: DataFrame, right_blocks: DataFrame, key: str = "se
 
 def trusted(left: Column, right: Column, matched: Column) -> Column:
     """Both speakers are matched ones, or their names without tags are similar above 60."""
-    return matched | (token_set_ratio(F.lower(without_tags(left)), F.lower(right)) > DOUBTFUL)
+    return matched | (similarity_over(F.lower(without_tags(left)), F.lower(right), DOUBTFUL) > 0)
 
 
 def good_pairs(rows: DataFrame, matched: DataFrame, key: str = "session") -> DataFrame:

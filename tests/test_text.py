@@ -64,6 +64,12 @@ def test_names(spark):
     assert one(spark, '<text top="1">a &lt; <b>b</b></text>', text.inner_markup) == "a < <b>b</b>" and one(spark, "<text/>", text.inner_markup) == ""
     assert token_set_similarity("pere pi", "pi, pere") == 100 and token_set_similarity("", "x") == 0 and token_set_similarity("pere pi", "pere") == 100
     assert token_set_similarity("Anna Soler", "Marc Vidal") < 60
+    names = ["pere pi i mas", "pi i mas, p.", "anna roc", "ana roca i vila", "el conseller", "la consellera de salut", "conseller de salut"]
+    for over in (60, 80, 90):
+        for a in names:
+            for b in names:
+                full = token_set_similarity(a, b)
+                assert token_set_similarity(a, b, over) == (full if full > over else 0)
 
 
 def test_lexicon_score_and_hyphens(spark):
