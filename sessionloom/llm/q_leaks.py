@@ -21,4 +21,14 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p8_found": p8_found, "p8_items": p8_items}
-SQL: dict[str, str] = {}
+_GRAMS = """
+d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{Nd}]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT DISTINCT item_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{Nd}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d) x),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i) x),
+f AS (SELECT DISTINCT item_id, doc_id FROM ig JOIN dg ON ig.g = dg.g)"""
+SQL = {
+    "p8_found": f"WITH {_GRAMS} SELECT item_id, doc_id FROM f",
+    "p8_items": f"""WITH {_GRAMS}, n AS (SELECT item_id, count(*) AS n_docs FROM f GROUP BY item_id)
+SELECT e.item_id, suite, lang, coalesce(n_docs, 0) AS n_docs FROM (SELECT DISTINCT item_id, suite, lang FROM eval_items) e LEFT JOIN n ON n.item_id = e.item_id""",
+}
