@@ -20,20 +20,27 @@ from pyspark.sql import functions as F
 HOT_ROWS = 200_000
 
 
+def _merged(periods: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, a, b): overlapping or touching periods of the same keys as one."""
+    w = Window.partitionBy(*keys).orderBy("a")
+    before = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    islands = periods.withColumn("fresh", F.coalesce((F.col("a") > before).cast("int"), F.lit(1))).withColumn("island", F.sum("fresh").over(w))
+    return islands.groupBy(*keys, "island").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("island")
+
+
 def live_periods(parents: DataFrame) -> DataFrame:
-    """(ref_field, ref_key, registered_at, deleted_at) -> disjoint periods [live_from, live_to); null live_to: still alive."""
+    """(ref_field, ref_key, registered_at, deleted_at) -> disjoint periods [live_from, live_to); the far future where still alive.
+
+    Periods are merged within the days of registration first, so that the order over a key's whole life holds merged ones only.
+    """
     far = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
     p = (
         parents.select("ref_field", "ref_key", F.col("registered_at").alias("a"), F.coalesce("deleted_at", far).alias("b"))
         .where("ref_key is not null and a is not null and b > a")
-        .groupBy("ref_field", "ref_key", "a").agg(F.max("b").alias("b"))
-    )
-    w = Window.partitionBy("ref_field", "ref_key").orderBy("a")
-    before = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    islands = p.withColumn("fresh", F.coalesce((F.col("a") > before).cast("int"), F.lit(1))).withColumn("island", F.sum("fresh").over(w))
-    return (
-        islands.groupBy("ref_field", "ref_key", "island").agg(F.min("a").alias("live_from"), F.max("b").alias("live_to")).drop("island")
+        .groupBy("ref_field", "ref_key", F.to_date("a").alias("day"), "a").agg(F.max("b").alias("b"))
     )
+    daily = _merged(p, ["ref_field", "ref_key", "day"]).drop("day")
+    return _merged(daily, ["ref_field", "ref_key"]).select("ref_field", "ref_key", F.col("a").alias("live_from"), F.col("b").alias("live_to"))
 
 
 def orphan_keys(references: DataFrame, parents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
