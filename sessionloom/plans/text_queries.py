@@ -216,6 +216,15 @@ SQL = {
     "ref_lexicon_score": f"""WITH t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(text, '-#| - | · | '' |<i>|</i>|[.,:;!?"()–’‘¿¡]', '', 'g')), '{_BLANK}'), lambda x: x <> '')) AS w FROM documents),
 k AS (SELECT doc_id, count(l.word) AS n_known FROM (SELECT doc_id, unnest(w) AS word FROM t) u LEFT JOIN (SELECT DISTINCT word FROM lexicon) l ON l.word = u.word GROUP BY doc_id)
 SELECT t.doc_id, len(w) AS n_tokens, coalesce(n_known, 0) AS n_known, round(CASE WHEN len(w) = 0 THEN 1.0::DOUBLE ELSE n_known / len(w)::DOUBLE END, 6) AS score FROM t LEFT JOIN k ON k.doc_id = t.doc_id""",
+    "ref_acceptance": f"""WITH r AS (SELECT record_id, any_value(text) AS text, any_value(urls) AS urls FROM session_texts GROUP BY record_id),
+a AS (SELECT record_id, coalesce(len(urls), 0) AS n_urls, list_sort(list_filter(list_distinct(list_transform(flatten(list_transform(urls, lambda u: u.names)), lambda x: trim(x))), lambda x: x <> 'mesa'))[1] AS speaker,
+  CASE WHEN trim(text[len(text)].speaker) = 'mesa' THEN text[1:len(text) - 1] ELSE text END AS t FROM r),
+b AS (SELECT *, array_to_string(list_transform(t, lambda x: coalesce(x.text, '')), '') AS all_text, array_to_string(list_transform(list_filter(t, lambda x: trim(x.speaker) = speaker), lambda x: coalesce(x.text, '')), '') AS own FROM a),
+w AS (SELECT *, CAST(coalesce(len(list_filter(regexp_split_to_array(all_text, '{_BLANK}'), lambda x: x <> '')), 0) AS BIGINT) AS n_words, coalesce(len(list_filter(regexp_split_to_array(own, '{_BLANK}'), lambda x: x <> '')), 0) AS own_words,
+  list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(own, '-#| - | · | '' |<i>|</i>|[.,:;!?"()–’‘¿¡]', '', 'g')), '{_BLANK}'), lambda x: x <> '')) AS tokens FROM b),
+k AS (SELECT record_id, count(*) AS known FROM (SELECT record_id, unnest(tokens) AS word FROM w) u WHERE word IN (SELECT word FROM lexicon) GROUP BY record_id),
+v AS (SELECT w.*, CASE WHEN n_urls <= 1 AND speaker IS NOT NULL THEN CASE WHEN len(tokens) = 0 THEN 1.0::DOUBLE ELSE coalesce(known, 0) / len(tokens)::DOUBLE END END AS score, CASE WHEN n_words > 0 THEN own_words / n_words::DOUBLE ELSE 0.0::DOUBLE END AS share FROM w LEFT JOIN k ON k.record_id = w.record_id)
+SELECT record_id, speaker, n_words, round(share, 6) AS share, round(score, 6) AS score, CASE WHEN n_urls > 1 THEN 'several urls' WHEN speaker IS NULL THEN 'only the chair' WHEN score < 0.7 THEN 'lexicon' WHEN n_words < 130 THEN 'short' WHEN share < 0.7 THEN 'share' END AS reason FROM v""",
     "ref_speaking_rate": f"""SELECT doc_id AS record_id, CAST(len({_W}) AS BIGINT) AS words, n_chars / 15.0::DOUBLE AS duration, round(len({_W}) / (n_chars / 15.0::DOUBLE) * 60, 4) AS words_per_minute,
   len({_W}) / (n_chars / 15.0::DOUBLE) * 60 BETWEEN 95 AND 195 AS fits FROM documents WHERE n_chars > 0""",
     "ref_edge_words": f"SELECT doc_id, array_to_string(w[1:5], ' ') AS head, array_to_string(w[greatest(len(w) - 4, 1):], ' ') AS tail FROM (SELECT doc_id, {_W} AS w FROM documents) d",
