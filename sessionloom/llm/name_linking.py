@@ -1,10 +1,10 @@
 """Links the spellings of one person or organisation.
 
-Distinct names become readings (see names.py). Candidates come from suffix blocking: every token suffix of
-``min_suffix`` characters or more is indexed. A suffix held by more than ``common`` readings is refined with
-fields of the other tokens (initial, last three characters), then with pairs of whole tokens; only what is
-too common after that is discarded. Readings of three or more tokens that differ in one also meet by all the
-other tokens, and where more than ``common`` share those, by a field of the one as well. Candidates are compared by the longest-common-subsequence ratio,
+Distinct names become readings (see names.py). Candidates come from suffix blocking: readings meet that share the
+last ``min_suffix`` characters of a token, so those that share a longer suffix meet too. No block is dropped: one of more
+than ``common`` readings is cut into parts of about ``WIDE * common``, and each part is compared with each. Readings of
+three or more tokens that differ in one also meet by all the other tokens, and where more than ``common`` share those,
+by a field of the one as well. Candidates are compared by the longest-common-subsequence ratio,
 token by token, with the tokens' document frequencies: two established spellings are two words.
 
 Each reading points to its best match among the more frequent ones; following the pointers gives entities, so
@@ -12,8 +12,8 @@ that relatives do not chain through an ambiguous spelling. Readings that leave s
 missing surname, a title for a given name) join an entity only if exactly one fits best.
 
 Scale and skew: mentions are counted before anything else, so that a name that holds a third of all rows is
-one row; blocks have at most ``WIDE * common`` rows, which bounds the pairs by (keys x common); nothing is collected
-or broadcast; tables between the steps are written to the shared folder.
+one row; a task compares two parts of a block at most, and the pairs of large blocks are never rows; their number does
+grow with the square of the block, as no pair is left out; nothing is collected or broadcast; tables between the steps are written to the shared folder.
 
 Defined results: nulls, blanks, offices and unnamed groups have no reading and no entity; repeated rows
 count once for links; ties go to the higher score, then the more frequent reading, then the greater key.
@@ -22,19 +22,21 @@ count once for links; ties go to the higher score, then the more frequent readin
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.names import Reading, compare, read
+from sessionloom.llm.names import Reading, comparable, compare, read
 from sessionloom.tables import written
 
 MIN_SUFFIX = 4
 COMMON = 48
 WIDE = 8
 READING = "name string, n bigint, core string, tokens array<string>, titled boolean, organisation boolean"
+LINK = ["src", "dst", "kind", "score"]
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,27 +52,15 @@ def readings(mentions: DataFrame) -> DataFrame:
 
 
 def blocks(tokens: DataFrame, min_suffix: int, common: int) -> DataFrame:
-    """(id, tokens) -> (id, key): readings that share a key are candidates."""
-    each = tokens.select("id", "tokens", F.posexplode("tokens").alias("pos", "token"))
-    long_enough = each.where(F.length("token") >= min_suffix)
-    suffixes = long_enough.select("id", "tokens", "pos", "token", F.explode(F.sequence(F.lit(min_suffix), F.length("token"))).alias("k"))
-    suffixes = suffixes.withColumn("key", F.expr("right(token, k)"))
+    """(id, tokens) -> (id, key, n): readings that share a key, held by ``n`` of them, are candidates."""
+    each = tokens.select("id", F.explode("tokens").alias("token")).where(F.length("token") >= min_suffix)
+    suffixes = each.select("id", F.expr(f"right(token, {min_suffix})").alias("key")).distinct()
 
     def split(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Keys held by 2..common readings, and by more."""
         n = keys.select("key", "id").distinct().groupBy("key").agg(F.count("*").alias("df"))
         return keys.join(n.where(F.col("df").between(2, common)).select("key"), "key"), keys.join(n.where(F.col("df") > common).select("key"), "key")
 
-    rare, often = split(suffixes)
-    other = F.filter(F.col("tokens"), lambda t, i: i != F.col("pos"))
-    fields = F.flatten(F.transform(other, lambda t: F.array(F.concat(F.lit("^"), F.substring(t, 1, 1)), F.concat(F.substring(t, -3, 3), F.lit("$")))))
-    refined = often.select("id", "tokens", "pos", "token", "k", F.explode(F.array_distinct(fields)).alias("field"), "key")
-    refined = refined.withColumn("key", F.concat_ws("|", "key", "field"))
-    rare2, often2 = split(refined)
-    # The whole token with another whole token, and a field of a third.
-    whole = often2.where(F.length("token") == F.col("k")).select("id", "tokens", "token", "field").distinct()
-    pair = F.transform(F.filter("tokens", lambda t: (t != F.col("token")) & (F.length(t) >= min_suffix)), lambda t: F.concat_ws("&", F.least(t, F.col("token")), F.greatest(t, F.col("token"))))
-    rare3, _ = split(whole.select("id", F.explode(pair).alias("p"), "field").select("id", F.concat_ws("|", "p", "field").alias("key")).distinct())
     # All tokens but one, of three or more; where too many readings share the others, with a field of the one.
     numbered = tokens.where(F.size("tokens") > 2).select("id", "tokens", F.posexplode("tokens").alias("pos", "token"))
     starred = F.concat_ws(" ", F.transform("tokens", lambda t, i: F.when(i == F.col("pos"), F.lit("*")).otherwise(t)))
@@ -79,40 +69,54 @@ def blocks(tokens: DataFrame, min_suffix: int, common: int) -> DataFrame:
     fielded = fielded.select("id", F.concat_ws("|", "key", "field").alias("key"))
     n5 = fielded.groupBy("key").agg(F.count("*").alias("df")).where(F.col("df").between(2, WIDE * common)).select("key")
     rare5 = fielded.join(n5, "key")
-    parts = [x.select("id", "key") for x in (rare, rare2, rare3, but_one, rare5)]
-    return functools.reduce(DataFrame.unionByName, parts).distinct()
+    parts = [x.select("id", "key") for x in (suffixes, but_one, rare5)]
+    keys = functools.reduce(DataFrame.unionByName, parts).distinct()
+    n = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return keys.join(n, "key").select("id", "key", "n")
 
 
-def short_pairs(tokens: DataFrame, min_suffix: int, common: int) -> DataFrame:
-    """(a, b): readings of at most two tokens with those that hold one of their whole tokens, where these are too
-    many for ``blocks`` but no more than WIDE times as many. A familiar form shares no field with the given name."""
-    whole = tokens.select("id", (F.size("tokens") <= 2).alias("short"), F.explode(F.array_distinct("tokens")).alias("key")).where(F.length("key") >= min_suffix)
-    fit = whole.groupBy("key").agg(F.count("*").alias("df")).where(F.col("df").between(common + 1, WIDE * common)).select("key")
-    whole = whole.join(fit, "key")
-    met = whole.where("short").select("key", F.col("id").alias("x")).join(whole.select("key", F.col("id").alias("y")), "key").where("x != y")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+def _record(i: int, r: dict) -> tuple[int, Reading, dict[str, int]]:
+    return i, Reading(tuple(r["tokens"]), bool(r["titled"]), bool(r["organisation"])), dict(zip(r["tokens"], r["dfs"], strict=True))
+
+
+def _links(a: tuple, b: tuple) -> list[tuple[int, int, str, float]]:
+    """(src, dst, kind, score) of two readings."""
+    (i, x, s), (j, y, t) = a, b
+    if not comparable(x, y):
+        return []
+    df = s | t
+
+    def rare(p: str, q: str) -> bool:
+        low, high = sorted((df[p], df[q]))
+        return low <= 1 or low <= 3 and 2 * low <= high or 10 * low <= high
+
+    there, back = compare(x, y, rare), compare(y, x, rare)
+    if any(m and m.kind == "same" for m in (there, back)):
+        score = max(m.score for m in (there, back) if m)
+        return [(i, j, "same", score), (j, i, "same", score)]
+    return [(i, j, "part", there.score)] if there else [(j, i, "part", back.score)] if back else []
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        out = []
-        for i, j, s, t in zip(b["a"], b["b"], b["ra"], b["rb"], strict=True):
-            df = dict(zip(s["tokens"], s["dfs"], strict=True)) | dict(zip(t["tokens"], t["dfs"], strict=True))
-
-            def rare(p: str, q: str, df: dict = df) -> bool:
-                low, high = sorted((df[p], df[q]))
-                return low <= 1 or low <= 3 and 2 * low <= high or 10 * low <= high
-
-            x, y = (Reading(tuple(r["tokens"]), bool(r["titled"]), bool(r["organisation"])) for r in (s, t))
-            there, back = compare(x, y, rare), compare(y, x, rare)
-            if any(m and m.kind == "same" for m in (there, back)):
-                score = max(m.score for m in (there, back) if m)
-                out += [(i, j, "same", score), (j, i, "same", score)]
-            elif there:
-                out.append((i, j, "part", there.score))
-            elif back:
-                out.append((j, i, "part", back.score))
-        yield pd.DataFrame(out, columns=["src", "dst", "kind", "score"])
+        out = [x for i, j, s, t in zip(b["a"], b["b"], b["ra"], b["rb"], strict=True) for x in _links(_record(i, s), _record(j, t))]
+        yield pd.DataFrame(out, columns=LINK)
+
+
+def _compare_parts(b: pd.DataFrame) -> pd.DataFrame:
+    """All pairs of a part with itself or with another part of its block."""
+    i, j = b["i"].iat[0], b["j"].iat[0]
+    mine, others = ([_record(x, r) for x, p, r in zip(b["id"], b["part"], b["r"], strict=True) if p == k] for k in (i, j))
+    pairs = itertools.combinations(mine, 2) if i == j else itertools.product(mine, others)
+    return pd.DataFrame([x for s, t in pairs for x in _links(*((s, t) if s[0] < t[0] else (t, s)))], columns=LINK)
+
+
+def parted(k: DataFrame, size: int) -> DataFrame:
+    """(id, key, n) -> (id, key, part, i, j): each block in parts of about ``size`` readings, each part beside each."""
+    parts = F.ceil(F.col("n") / size)
+    part = F.pmod(F.xxhash64("id", F.lit(size)), parts).cast("int")
+    at = k.select("id", "key", part.alias("part"), parts.cast("int").alias("parts")).select("id", "key", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("to"))
+    return at.select("id", "key", "part", F.least("part", "to").alias("i"), F.greatest("part", "to").alias("j"))
 
 
 def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON) -> DataFrame:
@@ -122,10 +126,12 @@ def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON)
     dfs = placed.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "df"))), lambda x: x["df"]).alias("dfs"))
     full = known.join(dfs, "id").select("id", F.struct("tokens", "dfs", "titled", "organisation").alias("r"))
     k = written(blocks(known.select("id", "tokens"), min_suffix, common), "name-blocks")
-    pairs = k.withColumnRenamed("id", "a").join(k.withColumnRenamed("id", "b"), "key").where("a < b").select("a", "b")
-    pairs = pairs.unionByName(short_pairs(known.select("id", "tokens"), min_suffix, common)).distinct()
+    small = k.where(F.col("n") <= common).select("id", "key")
+    pairs = small.withColumnRenamed("id", "a").join(small.withColumnRenamed("id", "b"), "key").where("a < b").select("a", "b").distinct()
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("r").alias("ra")), "a").join(full.select(F.col("id").alias("b"), F.col("r").alias("rb")), "b")
-    return both.mapInPandas(_compare, "src bigint, dst bigint, kind string, score double")
+    large = parted(k.where(F.col("n") > common), WIDE * common).join(full, "id")
+    schema = "src bigint, dst bigint, kind string, score double"
+    return both.mapInPandas(_compare, schema).unionByName(large.groupBy("key", "i", "j").applyInPandas(_compare_parts, schema)).distinct()
 
 
 def _follow(pointers: DataFrame, label: str) -> DataFrame:

@@ -29,6 +29,9 @@ HYPOCORISTICS = {
 }
 
 
+LEAST = 0.6  # the least ratio of two tokens that may be one
+
+
 def fold(s: str) -> str:
     """Canonical characters, lower case, no accents, single blanks."""
     s = unicodedata.normalize("NFKD", canonical(s).replace("’", "'").replace("·", "").lower())
@@ -181,7 +184,7 @@ class Link:
     score: float
 
 
-def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6, total: float = 0.86) -> Link | None:
+def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = LEAST, total: float = 0.86) -> Link | None:
     """How ``a`` may name what ``b`` names. ``rare(s, t)``: two tokens may be one word in spite of their spelling.
 
     Tokens pair in order. A token may be misspelt, an initial or an abbreviation; a given name may be a familiar
@@ -237,6 +240,32 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = 0.6,
     return None
 
 
+@functools.lru_cache(maxsize=100_000)
+def _related(p: str, q: str) -> bool:
+    """Whether two tokens of given names may match in any way that ``compare`` allows."""
+    if p == q or ratio(p, q) >= LEAST:
+        return True
+    return any(abbreviates(a, b) or short_for(a, b) or b in fold(HYPOCORISTICS.get(a, "")).split(" ") for a, b in ((p, q), (q, p)))
+
+
+def comparable(a: Reading, b: Reading) -> bool:
+    """False only where ``compare`` finds no link in either direction: persons without related given names,
+    organisations of unrelated words."""
+    s, t = a.tokens, b.tokens
+    if a.organisation or b.organisation:
+        if len(s) == len(t):
+            return all(_related(p, q) for p, q in zip(s, t, strict=True))
+        few, many = (s, t) if len(s) < len(t) else (t, s)
+        k = len(many) - len(few) + 1
+        return few[0] == "".join(w[0] for w in many[:k])
+    if a.titled or b.titled:
+        return True
+    if min(len(s), len(t)) < 2:
+        return False
+    given = lambda x, y: x[: max(1, len(x) - (1 if len(x) < len(y) else 2))]
+    return any(_related(p, q) for p in given(s, t) for q in given(t, s))
+
+
 def _organisations(s: tuple[str, ...], t: tuple[str, ...], rare, least: float, score: float) -> Link | None:
     """Words pair in order; abbreviations count, and an acronym may stand for the first words."""
     def words(p: tuple[str, ...], q: tuple[str, ...]) -> bool:

@@ -1,13 +1,14 @@
 """Name readings, their comparison, blocking and linking."""
 
 import random
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sessionloom.llm import name_linking as L
-from sessionloom.llm.names import compare, is_chair, lcs, read
+from sessionloom.llm.names import comparable, compare, is_chair, lcs, read
 
 SAME = [
     ("Nasi Saltreús i Ribtreoll", "Ignasi Saltreús i Ribtreoll"), ("FC Dorlagaia", "Federació de Comerç de Dorlagaia"), ("Cbra. de Regants d’Ivozagaia Vell", "Cambra de Regants d’Ivozagaia Vell"),
@@ -70,6 +71,50 @@ def test_blocks_hold_all_pairs_that_differ_in_one_token(spark):
                 assert any({i, j} <= ids for ids in keys.values())
 
 
+def found_and_brute_force(spark, names, common):
+    """Links of the operator, and of all pairs of readings that share the last four letters of a token."""
+    readings = [read(n) for n in names]
+    tokens = [(k, list(r.tokens), r.titled, r.organisation) for k, r in enumerate(readings)]
+    df = spark.createDataFrame(tokens, "id long, tokens array<string>, titled boolean, organisation boolean")
+    found = {(r["src"], r["dst"], r["kind"]) for r in L.edges(df, 4, common).collect()}
+    all_pairs = {(r["src"], r["dst"], r["kind"]) for r in L.edges(df, 4, 10**6).collect()}
+    ends = [{t[-4:] for t in r.tokens if len(t) >= 4} for r in readings]
+    count = Counter(t for r in readings for t in set(r.tokens))
+
+    def rare(p, q):
+        low, high = sorted((count[p], count[q]))
+        return low <= 1 or low <= 3 and 2 * low <= high or 10 * low <= high
+
+    want = set()
+    for i, a in enumerate(readings):
+        for j in range(i):
+            if ends[i] & ends[j]:
+                x, y = compare(a, readings[j], rare), compare(readings[j], a, rare)
+                if "same" in (x and x.kind, y and y.kind):
+                    want |= {(i, j, "same"), (j, i, "same")}
+                elif x or y:
+                    want.add((i, j, "part") if x else (j, i, "part"))
+    return found, all_pairs, want
+
+
+def test_a_hot_token_drops_no_pair(spark):
+    """'Xavier Borlamó' and 'Xavier Borlmó i Garlamús' share but 'xavier'; 'Nasi' and 'Ignasi' share no field."""
+    rnd = random.Random(2)
+    word = lambda n: "".join(rnd.choice(("bor", "gar", "sal", "tre", "mun", "vi", "lo", "que")) for _ in range(n))
+    names = ["Xavier Borlamó", "Xavier Borlmó i Garlamús", "Nasi Saltreús", "Ignasi Saltreús i Ribtreoll"]
+    names += [f"{g} {(b + word(3)).title()} i {word(3).title()}" for b in ("b", "g", "s") for g in ("Xavier", "Ignasi") for _ in range(25)] + [f"{g} Saltreús i {word(2).title()}" for g in ("Pere", "Anna") for _ in range(25)]
+    names = list(dict.fromkeys(names))
+    found, all_pairs, want = found_and_brute_force(spark, names, 3)
+    assert found == want == all_pairs
+    linked = {frozenset(x[:2]) for x in found}
+    assert {0, 1} in linked and {2, 3} in linked
+
+
+@pytest.mark.parametrize("names", [SAME, PART])
+def test_linked_readings_are_comparable(names):
+    assert all(comparable(read(a), read(b)) and comparable(read(b), read(a)) for a, b in names)
+
+
 def entities(spark, rows):
     df = spark.createDataFrame([(n, "x") for n in rows], "name string, entity string")
     groups = {}
