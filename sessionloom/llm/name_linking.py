@@ -3,8 +3,7 @@
 Distinct names become readings (see names.py). Candidates come from suffix blocking: readings meet that share the
 last ``min_suffix`` characters of a token, so those that share a longer suffix meet too. No block is dropped: one of more
 than ``common`` readings is cut into parts of about ``WIDE * common``, and each part is compared with each. Readings of
-three or more tokens that differ in one also meet by all the other tokens, and where more than ``common`` share those,
-by a field of the one as well. Candidates are compared by the longest-common-subsequence ratio,
+three or more tokens that differ in one also meet by all the other tokens, in blocks as whole. Candidates are compared by the longest-common-subsequence ratio,
 token by token, with the tokens' document frequencies: two established spellings are two words.
 
 Each reading points to its best match among the more frequent ones; following the pointers gives entities, so
@@ -21,7 +20,6 @@ count once for links; ties go to the higher score, then the more frequent readin
 
 from __future__ import annotations
 
-import functools
 import itertools
 from collections.abc import Iterator
 
@@ -52,25 +50,16 @@ def readings(mentions: DataFrame) -> DataFrame:
 
 
 def blocks(tokens: DataFrame, min_suffix: int, common: int) -> DataFrame:
-    """(id, tokens) -> (id, key, n): readings that share a key, held by ``n`` of them, are candidates."""
+    """(id, tokens) -> (id, key, n): readings that share a key, held by ``n`` of them, are candidates.
+
+    ``common`` drops nothing: ``edges`` cuts larger blocks into parts."""
     each = tokens.select("id", F.explode("tokens").alias("token")).where(F.length("token") >= min_suffix)
     suffixes = each.select("id", F.expr(f"right(token, {min_suffix})").alias("key")).distinct()
-
-    def split(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Keys held by 2..common readings, and by more."""
-        n = keys.select("key", "id").distinct().groupBy("key").agg(F.count("*").alias("df"))
-        return keys.join(n.where(F.col("df").between(2, common)).select("key"), "key"), keys.join(n.where(F.col("df") > common).select("key"), "key")
-
-    # All tokens but one, of three or more; where too many readings share the others, with a field of the one.
+    # All tokens but one, of three or more.
     numbered = tokens.where(F.size("tokens") > 2).select("id", "tokens", F.posexplode("tokens").alias("pos", "token"))
     starred = F.concat_ws(" ", F.transform("tokens", lambda t, i: F.when(i == F.col("pos"), F.lit("*")).otherwise(t)))
-    but_one, often4 = split(numbered.select("id", "token", starred.alias("key")))
-    fielded = often4.select("id", F.explode(F.array(F.concat(F.lit("^"), F.substring("token", 1, 1)), F.concat(F.substring("token", -3, 3), F.lit("$")))).alias("field"), "key")
-    fielded = fielded.select("id", F.concat_ws("|", "key", "field").alias("key"))
-    n5 = fielded.groupBy("key").agg(F.count("*").alias("df")).where(F.col("df").between(2, WIDE * common)).select("key")
-    rare5 = fielded.join(n5, "key")
-    parts = [x.select("id", "key") for x in (suffixes, but_one, rare5)]
-    keys = functools.reduce(DataFrame.unionByName, parts).distinct()
+    but_one = numbered.select("id", starred.alias("key"))
+    keys = suffixes.unionByName(but_one).distinct()
     n = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     return keys.join(n, "key").select("id", "key", "n")
 
@@ -129,7 +118,9 @@ def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON)
     small = k.where(F.col("n") <= common).select("id", "key")
     pairs = small.withColumnRenamed("id", "a").join(small.withColumnRenamed("id", "b"), "key").where("a < b").select("a", "b").distinct()
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("r").alias("ra")), "a").join(full.select(F.col("id").alias("b"), F.col("r").alias("rb")), "b")
-    large = parted(k.where(F.col("n") > common), WIDE * common).join(full, "id")
+    # A number of partitions, as few rows make many pairs here: by their bytes they would be one task.
+    tasks = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = parted(k.where(F.col("n") > common), WIDE * common).join(full, "id").repartition(tasks, "key", "i", "j")
     schema = "src bigint, dst bigint, kind string, score double"
     return both.mapInPandas(_compare, schema).unionByName(large.groupBy("key", "i", "j").applyInPandas(_compare_parts, schema)).distinct()
 

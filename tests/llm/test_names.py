@@ -71,6 +71,19 @@ def test_blocks_hold_all_pairs_that_differ_in_one_token(spark):
                 assert any({i, j} <= ids for ids in keys.values())
 
 
+def test_blocks_of_all_tokens_but_one_drop_no_pair(spark):
+    """The names above with a bound that four readings exceed, and a typo in both ends of the differing token."""
+    names = [(f"{a}", f"{b}anya", f"{c}ench") for a in "pqrs" for b in ("cal", "bal", "tor", "mir") for c in ("sol", "mas", "vil")]
+    names += [(g, "xi", "yo") for g in ("pepe", "josep", "marcus", "parcuz", "anna", "rita")]
+    keys = {}
+    for r in L.blocks(spark.createDataFrame([(k, list(n)) for k, n in enumerate(names)], "id long, tokens array<string>"), 4, 3).collect():
+        keys.setdefault(r["key"], set()).add(r["id"])
+    for i, a in enumerate(names):
+        for j in range(i):
+            if sum(x != y for x, y in zip(a, names[j], strict=True)) == 1:
+                assert any({i, j} <= ids for ids in keys.values())
+
+
 def found_and_brute_force(spark, names, common):
     """Links of the operator, and of all pairs of readings that share the last four letters of a token."""
     readings = [read(n) for n in names]
