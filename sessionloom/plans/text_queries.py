@@ -84,8 +84,8 @@ def first_ngram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def word_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Runs of four neighbouring words among the first twelve of each document."""
-    t = load(spark, d, "documents", "doc_id", "text").select("doc_id", trimming.windows(text.first_words(F.col("text"), 12), 4).alias("w"))
+    """All runs of four neighbouring words of each document."""
+    t = load(spark, d, "documents", "doc_id", "text").select("doc_id", trimming.windows(text.words(F.col("text")), 4).alias("w"))
     return t.select("doc_id", F.posexplode("w").alias("pos", "x")).select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.array_join("x", " ").alias("words"))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.operators import layout, trimming
+from sessionloom.plans import text_queries
 
 COLS = "doc string, page int, line_no int, top string, left string, width string, height string, font string, text string"
 
@@ -123,3 +124,11 @@ def test_phonemes(spark):
     d = spark.createDataFrame([("pa", "P A")], "word string, phonemes string")
     got = trimming.pronunciations(words, d, trimming.mapped_phonemes(spaced, conversion))
     assert dict(map(tuple, got.collect())) == {"vai": "V A Y", "pa": "P A", "no": None}
+
+
+def test_word_windows_reach_the_end_of_the_text(spark, tmp_path):
+    words = [f"w{k}" for k in range(40)]
+    texts = [(1, " ".join(words)), (2, "a b  c\nd"), (3, "a b c"), (4, ""), (5, None)]
+    spark.createDataFrame(texts, "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["pos"], r["words"]) for r in text_queries.word_windows(spark, str(tmp_path)).collect()}
+    assert got == {(1, k, " ".join(words[k : k + 4])) for k in range(37)} | {(2, 0, "a b c d")}
