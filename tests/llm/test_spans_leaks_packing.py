@@ -7,7 +7,7 @@ import unicodedata
 import numpy as np
 import pytest
 
-from sessionloom.llm import leaks, packing, rolling, shared_spans
+from sessionloom.llm import leaks, packing, pairs, rolling, shared_spans
 
 
 def test_window_hashes():
@@ -38,17 +38,17 @@ def brute_pairs(docs, least):
     return {(a, b) for ds in windows.values() for a in ds for b in ds if a < b}
 
 
-@pytest.mark.parametrize("classes", [1, 4, 32])
-def test_shared_spans_match_brute_force(spark, classes):
+@pytest.mark.parametrize(("kinds", "chars"), [(1, 10**6), (4, 300), (512, 10**6)])
+def test_shared_spans_match_brute_force(spark, kinds, chars):
     rnd = random.Random(7)
     noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
     passage, short = noise(90), noise(35)
     docs = [(1, noise(50) + passage + noise(20)), (2, passage[10:75] + noise(30)), (3, noise(9) + passage[60:] + noise(60)), (4, passage), (5, passage), (6, None), (7, ""), (8, noise(200)), (9, passage[:40] + noise(5) + passage[40:]), (10, "é" + passage[:45])]
     docs += [(20 + k, noise(20) + short + noise(20)) for k in range(12)] + [(40, noise(4) * 30), (41, "a" * 300), (42, "a" * 200), (43, passage[20:66] * 3)]
     df = spark.createDataFrame([(d, t, d) for d, t in docs] + [(4, passage, 4)], "doc_id long, text string, seed long").select("doc_id", "text", "seed")
-    got = {tuple(r) for r in shared_spans.sharing_pairs(df, least=40, seed=16, classes=classes).collect()}
+    got = {tuple(r) for r in shared_spans.sharing_pairs(df, least=40, seed=16, kinds=kinds, chars=chars).collect()}
     assert got == brute_pairs(docs, 40)
-    amount = {r["doc_id"]: r["shared_chars"] for r in shared_spans.shared_amount(df, least=40, seed=16, classes=classes).collect()}
+    amount = {r["doc_id"]: r["shared_chars"] for r in shared_spans.shared_amount(df, least=40, seed=16, kinds=kinds, chars=chars).collect()}
     assert set(amount) == {d for p in got for d in p}
     for d, t in docs:
         if d in amount:
@@ -60,6 +60,34 @@ def test_shared_spans_match_brute_force(spark, classes):
             assert amount[d] == len(covered), d
 
 
+def test_factors_match_brute_force():
+    rnd = random.Random(11)
+    for trial in range(60):
+        letters = "ab" if trial % 2 else "abcdefgh"
+        noise = lambda n: "".join(rnd.choice(letters) for _ in range(n))  # noqa: B023, E731
+        shared = [noise(rnd.randint(10, 60)) for _ in range(3)]
+        blocks = [[noise(rnd.randint(0, 9)) + "".join(rnd.choice(shared)[rnd.randint(0, 5) :] for _ in range(rnd.randint(1, 3))) + noise(rnd.randint(0, 9)) for _ in range(rnd.randint(1, 2))] for _ in range(rnd.randint(2, 6))]
+        voices, least = [rnd.choice([1, 1, 2]) for _ in blocks], rnd.choice([12, 13, 20])
+        ref = shared_spans.Reference(voices, blocks, least)
+        found, covered = set(), [set() for _ in blocks]
+        for k in range(len(blocks)):
+            for other, at, there, n in ref.factored(k):
+                (part, a), (q, b) = ref.part(at), ref.part(there)
+                assert n >= least and blocks[k][part][a : a + n] == blocks[other][q][b : b + n] and voices[k] == voices[other]
+                found.add((k, other))
+                covered[k].update((part, a + j) for j in range(n))
+        grams = [{t[j : j + least] for t in texts for j in range(len(t) - least + 1)} for texts in blocks]
+        assert found == {(x, y) for x in range(len(blocks)) for y in range(len(blocks)) if x != y and voices[x] == voices[y] and grams[x] & grams[y]}
+        for k, texts in enumerate(blocks):
+            others = set().union(*(g for y, g in enumerate(grams) if y != k and voices[y] == voices[k]))
+            assert covered[k] == {(p, j + i) for p, t in enumerate(texts) for j in range(len(t) - least + 1) if t[j : j + least] in others for i in range(least)}
+
+
+def test_pairs_within_large_sets(spark):
+    df = spark.createDataFrame([("x", k, 20) for k in range(20)] + [("y", 1, 1)], "s string, m int, n long")
+    assert {tuple(r) for r in pairs.pairs_within(df, "s", "m", part=3).collect()} == {(a, b) for a in range(20) for b in range(a + 1, 20)}
+
+
 def test_no_documents_no_pairs(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert shared_spans.sharing_pairs(df).count() == 0 and shared_spans.shared_amount(df).count() == 0
