@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from sessionloom.llm.leaks import leaks
 from sessionloom.tables import load
 
+NEAR = 3
+
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return leaks(load(spark, d, "documents", "doc_id", "text"), load(spark, d, "eval_items", "item_id", "text"))
+    """The leaks without any edit, an exact check of those that the operator finds within its budget."""
+    return leaks(load(spark, d, "documents", "doc_id", "text"), load(spark, d, "eval_items", "item_id", "text")).where("edits = 0").select("item_id", "doc_id")
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """Leaks with up to NEAR edits in thirteen words, and the fewest edits of each."""
+    return leaks(load(spark, d, "documents", "doc_id", "text"), load(spark, d, "eval_items", "item_id", "text"), edits=NEAR)
 
 
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
@@ -20,7 +28,7 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return items.join(found, "item_id", "left").select("item_id", "suite", "lang", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_items": p8_items}
+QUERIES = {"p8_found": p8_found, "p8_near": p8_near, "p8_items": p8_items}
 _GRAMS = """
 d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{Nd}]+') AS w FROM documents WHERE text IS NOT NULL),
 i AS (SELECT DISTINCT item_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{Nd}]+') AS w FROM eval_items WHERE text IS NOT NULL),

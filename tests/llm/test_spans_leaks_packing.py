@@ -114,17 +114,60 @@ def test_leaks_match_brute_force(spark):
     df = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, item_id string")
     it = spark.createDataFrame(items + items[:2], "item_id long, text string")
     for block in (leaks.BLOCK_CHARS, 200):
-        got = {tuple(r) for r in leaks.leaks(df.drop("item_id"), it, block_chars=block).collect()}
-        assert got == want
+        for edits in (0, 1):
+            got = {(r["item_id"], r["doc_id"]) for r in leaks.leaks(df.drop("item_id"), it, edits=edits, block_chars=block).where("edits = 0").collect()}
+            assert got == want, (block, edits)
     assert leaks.leaks(df.limit(0), it).count() == 0 and leaks.leaks(df, it.limit(0)).count() == 0
 
 
+def fewest_edits(passage, text):
+    """Edits of ``passage`` anywhere in ``text``, by the plain table."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(passage, 1):
+        new = [i]
+        for j, c in enumerate(text, 1):
+            new.append(min(row[j - 1] + (p != c), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_leaks_with_edits_match_brute_force():
+    rnd = random.Random(8)
+    vocab = ["avia", "cotxe", "riu", "verd", "o", "a", "muntanya", "parallel", "1984", "es", "sol", "lluna", "mar", "vent"]
+    say = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+
+    def noisy(t, n):
+        for _ in range(n):
+            p = rnd.randrange(len(t))
+            t = t[:p] + rnd.choice(["", "x", " ", t[p] + "y"]) + t[p + rnd.choice([0, 1]) :]
+        return t
+
+    words_n, items, docs = 6, [say(rnd.choice([6, 7, 9, 12])) for _ in range(40)] + ["a o a o a o", "o a o a o a o a"], []
+    for k, item in enumerate(items):
+        w = item.split()
+        at = rnd.randint(0, len(w) - words_n)
+        docs.append(" ".join(noisy(f"{say(rnd.randint(0, 5))} {noisy(' '.join(w[at : at + words_n]), k % 5)} {say(rnd.randint(0, 5))}", 0).split()))
+    for edits in (1, 2, 3):
+        index = leaks.build(list(range(len(items))), items, words_n, edits)
+        assert all((b[b > 0] >= 1).all() for _, b, _, _ in index.groups) and sum(int((b > 0).sum()) for _, b, _, _ in index.groups) == len(items)
+        points, starts = leaks.folded(docs)
+        got = leaks.find(index, points, starts, words_n, edits)
+        want = {}
+        for d, text in enumerate(docs):
+            for i, item in enumerate(items):
+                w = item.split()
+                n = min(fewest_edits(f" {' '.join(w[k : k + words_n])} ", f" {text} ") for k in range(len(w) - words_n + 1))
+                if n <= edits:
+                    want[d, i] = n
+        assert got == want, edits
+
+
 def test_leaks_with_edits(spark):
     item = "una frase prou llarga de prova que algú ha copiat amb una falta petita dins del text"
     docs = spark.createDataFrame([(1, "abans " + item.replace("copiat", "copiar") + " despres"), (2, item.replace("prova", "xxxxx").replace("amb", "yyy").replace("petita", "zzzzzz")), (3, item)], "doc_id long, text string")
     it = spark.createDataFrame([(7, item)], "item_id long, text string")
-    assert {r["doc_id"] for r in leaks.leaks(docs, it).collect()} == {3}
-    assert {r["doc_id"] for r in leaks.leaks(docs, it, words=16, edits=1).collect()} == {1, 3}
+    assert {r["doc_id"] for r in leaks.leaks(docs, it, edits=0).collect()} == {3}
+    assert {(r["doc_id"], r["edits"]) for r in leaks.leaks(docs, it, words=16, edits=1).collect()} == {(1, 1), (3, 0)}
 
 
 @pytest.mark.parametrize(("dims", "bits"), [(2, 4), (3, 3), (4, 2)])
