@@ -23,6 +23,11 @@ SHORTEST, LONGEST = 31, 600
 BREAK = "\u0001"
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)``, the value computed once however often ``use`` needs it, in lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without blanks of any kind at the ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -40,6 +45,7 @@ def n_words(c: Column) -> Column:
 def structure_clean(c: Column) -> Column:
     """Without captions, notes in brackets and short tags; single blanks, none before a full stop."""
     c = F.replace(F.replace(c, F.lit("\u00a0"), F.lit(" ")), F.lit("\u00ad"), F.lit("-"))
+    # What is taken out, and by what it is replaced, in this order.
     for pattern, to in ((r"<i>\(.*?\) ?</i>", ""), (r"\(.*?\)", ""), (r"\{.+\}", ""), (" {2,}", " "), (r" (?=\.)", ""), ("<.{1,3}>", "")):
         c = F.regexp_replace(c, pattern, to)
     return c

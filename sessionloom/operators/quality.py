@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.functions.text import VALID_WORD, n_words, punctuation, score_tokens, sentences, strip, structure_clean
+from sessionloom.functions.text import VALID_WORD, n_words, punctuation, score_tokens, sentences, strip, structure_clean, words
 from sessionloom.tables import written
 
-# Least lexicon score, words of all turns, and share of the speaker's words; words per minute.
+# Least lexicon score, words of the speaker, and their share of all words; words per minute.
 SCORE, WORDS, SHARE = 0.7, 130, 0.7
 SLOWEST, FASTEST = 95, 195
 
@@ -29,34 +25,29 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
     return n.select(key, "n_tokens", "n_known", F.round(score, 6).alias("score"))
 
 
-def _dehyphened(text: str, lexicon: set[str]) -> str:
-    fixes = {}
-    for word in text.split():
-        if re.search(".-.", word) and (m := re.search(f"[{VALID_WORD}]+", word)):
-            core = m[0]
-            if core.lower() not in lexicon and core.replace("-", "").lower() in lexicon:
-                fixes[core] = core.replace("-", "").lower()
-    for old, new in fixes.items():
-        text = text.replace(old, new)
-    return text
+def _hyphened(text: Column) -> Column:
+    """The different words of a text with a hyphen inside, without what cannot belong to a word."""
+    with_hyphen = F.filter(words(text), lambda w: w.rlike(".-."))
+    return F.filter(F.array_distinct(F.transform(with_hyphen, lambda w: F.regexp_extract(w, f"[{VALID_WORD}]+", 0))), lambda c: c != "")
 
 
 def hyphens_fixed(texts: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
-    """(key, text): hyphened words that only the joined form of is in the lexicon, joined in lower case.
+    """(key, text): hyphened words of which the lexicon holds only the joined form, joined in lower case wherever they stand.
 
-    Each text meets only those lexicon words that its own hyphened words ask for, so the lexicon may be of any size.
+    Only texts with a hyphened word take part in the joins, each with the words it asks for, so the lexicon may be
+    of any size; the replacements stay in the JVM, in the order of the words.
     """
-    hyphened = F.filter(F.split("text", r"(?U)\s+"), lambda w: w.rlike(".-."))
-    core = F.transform(hyphened, lambda w: F.regexp_extract(w, f"[{VALID_WORD}]+", 0))
-    asked = texts.select(key, F.explode(F.array_distinct(core)).alias("core")).select(key, F.explode(F.array(F.lower("core"), F.lower(F.replace("core", F.lit("-"), F.lit(""))))).alias("word"))
-    have = asked.join(lexicon.select("word").distinct(), "word", "left_semi").groupBy(key).agg(F.collect_set("word").alias("have"))
-
-    def fix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["text"] = [t if h is None or t is None else _dehyphened(t, set(h)) for t, h in zip(b["text"], b["have"], strict=True)]
-            yield b[[key, "text"]]
-
-    return texts.select(key, "text").join(have, key, "left").mapInPandas(fix, f"{key} {dict(texts.dtypes)[key]}, text string")
+    here = texts.select(key, "text")
+    plain = F.coalesce(~F.col("text").rlike(r"(?U)\S-\S"), F.lit(True))
+    some = here.where(~plain)
+    joined = lambda c: F.lower(F.replace(c, F.lit("-"), F.lit("")))
+    asked = some.select(key, F.posexplode(_hyphened(F.col("text"))).alias("n", "core"))
+    once = asked.select("core", F.explode(F.array(F.struct(F.lower("core").alias("word"), F.lit(0).alias("whole")), F.struct(joined(F.col("core")).alias("word"), F.lit(1).alias("whole")))).alias("w")).distinct()
+    held = once.select("core", "w.*").join(lexicon.select("word").where("word is not null").distinct(), "word", "left_semi")
+    wrong = held.groupBy("core").agg(F.min("whole").alias("first")).where("first = 1").select("core")
+    fixes = asked.join(wrong, "core").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("n", "core"))).alias("fixes"))
+    fixed = F.aggregate(F.coalesce("fixes", F.array().cast("array<struct<n:int,core:string>>")), F.col("text"), lambda t, x: F.replace(t, x["core"], joined(x["core"])))
+    return here.where(plain).unionByName(some.join(fixes, key, "left").select(key, fixed.alias("text")))
 
 
 def clean_turns(texts: DataFrame, lexicon: DataFrame, key: str, sentence_first: bool = False) -> DataFrame:
@@ -84,17 +75,17 @@ def joined_text(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: F.coalesce(t["text"], F.lit(""))), "")
 
 
-def judged(records: DataFrame, speakers: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(record_id, speaker, n_words, share, score, reason): why a record is rejected (null: accepted), by the first rule it breaks.
+def judged(records: DataFrame, chairs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(record_id, speaker, n_words, own_words, share, score, reason): why a record is rejected (null: accepted), by the first rule it breaks.
 
-    records: record_id, session, text, urls; speakers: (session, pos, speaker), the first being the chair. Rules:
-    one url; a speaker besides the chair (the least name if several); then, without a last turn by the chair,
-    the lexicon score of the speaker's text, the number of words and the speaker's share of them.
+    records: record_id, session, text, urls; chairs: session, chair. Rules: one url; a speaker besides the chair
+    among the record's own turns (the least name if several); then, without a last turn by the chair, the lexicon
+    score of the speaker's text, its number of words, and its share of all words.
     """
-    chairs = speakers.where("speaker is not null").groupBy("session").agg(F.min_by(strip(F.col("speaker")), "pos").alias("chair"), F.collect_set(strip(F.col("speaker"))).alias("everyone"))
-    here = records.dropDuplicates(["record_id"]).join(chairs, "session", "left")
-    others = F.sort_array(F.array_except("everyone", F.array("chair")))
-    here = here.withColumn("speaker", F.get(others, F.lit(0))).withColumn("urls_n", F.size(F.coalesce("urls", F.array())))
+    known = chairs.select("session", strip(F.col("chair")).alias("chair")).dropDuplicates(["session"])
+    here = records.dropDuplicates(["record_id"]).join(known, "session", "left")
+    named = F.array_distinct(F.filter(F.transform("text", lambda t: strip(t["speaker"])), lambda s: s.isNotNull() & ~s.eqNullSafe(F.col("chair"))))
+    here = here.withColumn("speaker", F.array_min(named)).withColumn("urls_n", F.size(F.coalesce("urls", F.array())))
     n = F.size("text")
     last = F.get(F.col("text"), n - 1)
     here = here.withColumn("turns", F.when(strip(last["speaker"]) == F.col("chair"), F.slice("text", F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(F.col("text")))
@@ -106,17 +97,20 @@ def judged(records: DataFrame, speakers: DataFrame, lexicon: DataFrame) -> DataF
     share = F.when(F.col("n_words") > 0, F.col("own_words") / F.col("n_words")).otherwise(0.0)
     reason = (
         F.when(F.col("urls_n") > 1, "several urls").when(F.col("speaker").isNull(), "only the chair").when(F.col("score") < SCORE, "lexicon")
-        .when(F.col("n_words") < WORDS, "short").when(share < SHARE, "share")
+        .when(F.col("own_words") < WORDS, "short").when(share < SHARE, "share")
     )
-    done = cheap.join(scores.select("record_id", "score"), "record_id", "left")
-    return done.select("record_id", "speaker", "n_words", F.round(share, 6).alias("share"), "score", reason.alias("reason"))
+    done = cheap.drop("own_text").join(scores.select("record_id", "score"), "record_id", "left")
+    return done.select("record_id", "speaker", "n_words", "own_words", F.round(share, 6).alias("share"), "score", reason.alias("reason"))
 
 
-def accepted(records: DataFrame, speakers: DataFrame, lexicon: DataFrame) -> DataFrame:
+def accepted(records: DataFrame, chairs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(record_id, pos, speaker, text): the cleaned turns of the accepted records."""
-    verdict = written(judged(records, speakers, lexicon), "verdicts")
-    kept = records.dropDuplicates(["record_id"]).join(verdict.where("reason is null").select("record_id"), "record_id", "left_semi")
-    turns = turn_texts(kept).withColumn("turn", F.concat_ws("#", "record_id", "pos"))
+    verdict = written(judged(records, chairs, lexicon), "verdicts")
+    known = chairs.select("session", strip(F.col("chair")).alias("chair")).dropDuplicates(["session"])
+    kept = records.dropDuplicates(["record_id"]).join(verdict.where("reason is null").select("record_id"), "record_id", "left_semi").join(known, "session", "left")
+    n = F.size("text")
+    closed = strip(F.get("text", n - 1)["speaker"]) == F.col("chair")
+    turns = turn_texts(kept.withColumn("text", F.when(closed, F.slice("text", F.lit(1), n - 1)).otherwise(F.col("text")))).withColumn("turn", F.concat_ws("#", "record_id", "pos"))
     return turns.select("turn", "record_id", "pos", "speaker").join(clean_turns(turns.select("turn", "text"), lexicon, "turn"), "turn").drop("turn")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.text import once
+
 # Words sought at each end, shortest run, length of the searched ends and the audio they apply to, padding.
 ENDS, SHORTEST = 5, 3
 EDGE, LONG = 60.0, 100.0
@@ -27,15 +29,21 @@ def searched_parts(duration: Column) -> Column:
 
 def windows(words: Column, size: int) -> Column:
     """All runs of ``size`` neighbouring words; none if there are fewer."""
-    return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda k: F.slice(words, k, size))).otherwise(F.array().cast("array<array<string>>"))
+    none = F.array().cast("array<array<string>>")
+    return once(words, lambda w: F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda k: F.slice(w, k, size))).otherwise(none))
 
 
 def first_match(words: Column, sought: Column) -> Column:
     """0-based place of the first run of ``words`` equal to ``sought``; null if there is none."""
-    n = F.size(sought)
-    last = F.size(words) - n + 1
-    places = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: (k <= last) & (F.slice(words, k, n) == sought))
-    return F.when(n > 0, F.get(places, F.lit(0)) - 1)
+
+    def place(w: Column, s: Column) -> Column:
+        n = F.size(s)
+        last = F.size(w) - n + 1
+        head = F.get(s, F.lit(0))  # most places differ in the first word already
+        places = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: (k <= last) & (F.get(w, k - 1) == head) & (F.slice(w, k, n) == s))
+        return F.when(n > 0, F.get(places, F.lit(0)) - 1)
+
+    return once(words, lambda w: once(sought, lambda s: place(w, s)))
 
 
 def longest_match(words: Column, sought: Column, size: int = ENDS, compat: bool = False) -> Column:

@@ -23,20 +23,21 @@ def catalogue(index_pages: DataFrame, act_pages: DataFrame, acts: DataFrame) ->
 @dataclass
 class Transcript:
     kept: DataFrame  # content lines
-    deleted: DataFrame  # headers, footers, lines outside the columns
+    deleted: DataFrame  # lines outside the columns; headers and footers are in neither
     speeches: DataFrame  # doc, seq, speaker, text
 
 
 def transcript(documents: DataFrame) -> Transcript:
     """(doc, xml) of page XML -> content lines and speeches."""
     lines = written(files.page_lines(documents), "transcript-lines")
-    sizes = layout.page_sizes(files.page_sizes(documents)).select("doc", "height")
+    pages = written(files.page_sizes(documents), "transcript-pages")
+    sizes = layout.page_sizes(pages)
     columns, fonts = written(layout.content_columns(lines), "transcript-columns"), written(layout.text_font(lines), "transcript-fonts")
-    tops = layout.header_footer(lines, columns, fonts, sizes)
+    tops = layout.header_footer(lines, columns, fonts, sizes.select("doc", "height"), layout.page_counts(pages))
     content = written(layout.split_content(layout.merge_fragments(lines), columns, tops), "transcript-content")
     kept = content.where("kept")
     style = written(layout.speaker_style(kept, fonts), "transcript-style")
-    return Transcript(kept, content.where("not kept"), layout.speeches(layout.stack_speakers(kept, style, fonts)))
+    return Transcript(kept, content.where("not kept and not repeated"), layout.speeches(layout.stack_speakers(kept, style, fonts)))
 
 
 def alignment(text: DataFrame, meta: DataFrame) -> DataFrame:
@@ -52,9 +53,9 @@ def alignment(text: DataFrame, meta: DataFrame) -> DataFrame:
     return pairing.good_pairs(pairing.decoded(pairing.align(code(left, "text_name"), code(right, "meta_name")), left, right), matched)
 
 
-def corpus(records: DataFrame, speakers: DataFrame, lexicon: DataFrame, media: DataFrame) -> tuple[DataFrame, DataFrame]:
+def corpus(records: DataFrame, chairs: DataFrame, lexicon: DataFrame, media: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records (record_id, session, text, urls) -> cleaned turns of the accepted ones, and their rates against media (media_url, duration)."""
-    turns = written(quality.accepted(records, speakers, lexicon), "corpus-turns")
+    turns = written(quality.accepted(records, chairs, lexicon), "corpus-turns")
     whole = turns.groupBy("record_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
     urls = records.select("record_id", F.get("urls", F.lit(0))["url"].alias("media_url")).distinct()
     return turns, quality.speaking_rates(whole.join(urls, "record_id"), media)

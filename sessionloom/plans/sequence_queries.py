@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.functions.codes import code_date, date_code
 from sessionloom.functions.fuzzy import name_key, token_set_ratio
+from sessionloom.functions.keys import code_key
 from sessionloom.functions.text import speaker_name, title_and_name
 from sessionloom.operators import pairing, runs
 from sessionloom.sinks.tables import absent
@@ -52,14 +53,14 @@ def block_slices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def metadata_sequence(spark: SparkSession, d: str) -> DataFrame:
-    """Interventions of each code by start, then position: (session, pos, names, media_url, chair applied)."""
+    """Interventions of each code, in its canonical form, by start, then position: (session, pos, speaker, names, media_url)."""
     i = load(spark, d, "interventions", "ple_code", "pos", "start", "intervinent", "media_url", "intervention_id").where("ple_code is not null and intervinent is not null and size(intervinent) > 0")
-    i = i.distinct().withColumnRenamed("ple_code", "session")
+    i = i.withColumn("ple_code", code_key(F.col("ple_code"))).distinct().withColumnRenamed("ple_code", "session")
     each = i.select("session", F.struct("start", "pos", "intervention_id").alias("at"), F.posexplode("intervinent").alias("k", "speaker"))
     names = each.select("session", F.struct("at", "k").alias("pos"), "speaker")
     chairs = runs.chair(names)
     one = F.transform("intervinent", lambda n: F.when(n.contains(F.col("chair")), F.lit(runs.PAUSE)).otherwise(speaker_name(n)))
-    return i.join(chairs, "session", "left").select("session", F.struct("start", "pos", "intervention_id").alias("pos"), runs.one_speaker(one).alias("speaker"), "media_url")
+    return i.join(chairs, "session", "left").select("session", F.struct("start", "pos", "intervention_id").alias("pos"), runs.one_speaker(one).alias("speaker"), F.transform("intervinent", lambda n: F.split_part(n, F.lit("|"), F.lit(1))).alias("names"), "media_url")
 
 
 def metadata_speakers(spark: SparkSession, d: str) -> DataFrame:
@@ -104,7 +105,7 @@ def code_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    text = sequence(spark, d)
+    text = sequence(spark, d).withColumn("session", code_key(F.col("session")))
     chairs = runs.chair(text)
     text = pairing.apply_aliases(runs.with_chair(text, chairs), pairing.aliases(text))
     meta = metadata_sequence(spark, d).where("speaker is not null")
@@ -216,6 +217,7 @@ _BLOCKS = """said AS (SELECT *, lag(speaker) OVER (PARTITION BY session ORDER BY
 heads AS (SELECT session, pos, speaker, row_number() OVER (PARTITION BY session ORDER BY pos) - 1 AS block_no, lead(pos) OVER (PARTITION BY session ORDER BY pos) AS nxt FROM said WHERE prev IS NULL OR prev <> speaker),
 begun AS (SELECT h.session, h.block_no, h.speaker, h.nxt, CASE WHEN h.block_no = 0 THEN 0 WHEN b.speaker = 'mesa' THEN h.pos - 1 ELSE h.pos END AS s FROM heads h LEFT JOIN seq b ON b.session = h.session AND b.pos = h.pos - 1),
 blocks AS (SELECT session, block_no, s AS start, CASE WHEN nxt IS NULL THEN s ELSE nxt - 1 END AS "end", speaker FROM begun)"""
+_CODE = r"regexp_replace(regexp_replace(trim(ple_code), '[-/]', '_', 'g'), '_0*([0-9]+)$', '_\1')"
 SQL = {
     "ref_turn_filter": f"WITH {_TURNS} SELECT * FROM turns WHERE text <> '' AND NOT contains(speaker, 'ORDRE') AND NOT regexp_matches(speaker, '^\\p{{Ll}}')",
     "ref_chair": f"""WITH {_SEQ}, {_MODE}, e AS (SELECT session, arg_min(speaker, pos) AS f, arg_max(speaker, pos) AS l FROM seq GROUP BY session)
@@ -225,7 +227,7 @@ SELECT e.session, CASE WHEN f = m OR f = l THEN f WHEN l = m THEN l WHEN contain
     "ref_blocks": f"WITH {_SEQ}, {_BLOCKS} SELECT * FROM blocks",
     "ref_block_slices": f"""WITH {_SEQ}, {_BLOCKS} SELECT b.session, block_no, count(*) AS n_rows, string_agg(s.speaker, '; ' ORDER BY s.pos) AS speakers
 FROM blocks b JOIN seq s ON s.session = b.session AND s.pos BETWEEN b.start AND b."end" GROUP BY b.session, block_no""",
-    "ref_metadata_speakers": """WITH i AS (SELECT DISTINCT ple_code AS session, start, pos, intervention_id, intervinent, media_url FROM interventions WHERE ple_code IS NOT NULL AND len(intervinent) > 0),
+    "ref_metadata_speakers": f"""WITH i AS (SELECT DISTINCT {_CODE} AS session, start, pos, intervention_id, intervinent, media_url FROM interventions WHERE ple_code IS NOT NULL AND len(intervinent) > 0),
 e AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY start NULLS FIRST, pos NULLS FIRST, intervention_id, k) AS at_pos FROM (SELECT session, start, pos, intervention_id, intervinent[k] AS n, k FROM (SELECT *, unnest(range(1, len(intervinent) + 1)) AS k FROM i) x) y WHERE n IS NOT NULL),
 m AS (SELECT session, n AS m FROM (SELECT session, n, row_number() OVER (PARTITION BY session ORDER BY count(*) DESC, min(at_pos)) AS r FROM e GROUP BY session, n) c WHERE r = 1),
 c AS (SELECT f.session, CASE WHEN f = m OR f = l THEN f WHEN l = m THEN l WHEN contains(lower(f), 'parlament') THEN f WHEN contains(lower(l), 'parlament') THEN l ELSE m END AS chair

@@ -32,7 +32,7 @@ def document(spark, doc="d", pages=8):
 def test_layout_of_two_columns(spark):
     lines = document(spark)
     columns = layout.content_columns(lines).first()
-    assert (columns["columns"], columns["lefts"]) == (2, ["85", "102", "460", "477"])
+    assert (columns["columns"], columns["lefts"]) == (2, [85.0, 102.0, 460.0, 477.0])
     fonts = layout.text_font(lines)
     assert fonts.first()["text_font"] == "1"
     heights = spark.createDataFrame([("d", 1262)], "doc string, height int")
@@ -48,6 +48,30 @@ def test_layout_of_two_columns(spark):
     assert got[3]["text"] == "".join(f"text 1.1.{k} " for k in range(6))
 
 
+@pytest.mark.parametrize(("pages", "least"), [(30, 8), (6, 1)])
+def test_header_threshold_counts_all_pages(spark, pages, least):
+    """A line repeated on max(1, pages // 3 - 2) pages is header or footer; pages without lines count."""
+    def tops(times):
+        rows = [("d", 2 + k, 0, "40", "85.0", "9", "14", "9", "DIARI") for k in range(times)] + [("d", 2 + k, 1, "1230", "85", "9", "14", "9", "ISSN") for k in range(times)]
+        rows += [("d", 2, 2 + k, str(100 + k), str(85 + 17 * (k % 2)), "9", "17", "1", f"t{k}") for k in range(200)]
+        lines = spark.createDataFrame(rows, COLS)
+        counts = spark.createDataFrame([("d", pages)], "doc string, pages int")
+        heights = spark.createDataFrame([("d", 1262)], "doc string, height int")
+        return layout.header_footer(lines, layout.content_columns(lines), layout.text_font(lines), heights, counts).count()
+
+    assert tops(least) == 2 and (least == 1 or tops(least - 1) == 0)
+
+
+def test_style_and_names_without_blanks(spark):
+    rows = [("d", 0, 0, "100", "85", "9", "17", "2", "<b>Nom</b> "), ("d", 0, 1, "140", "85", "9", "17", "1", "U. "), ("d", 0, 2, "160", "85", "9", "17", "1", "Dos."), ("d", 0, 3, "200", "85", "9", "17", "2", "<b>Nom</b>"), ("d", 0, 4, "240", "85", "9", "17", "1", "Tres. ")]
+    content = spark.createDataFrame(rows, COLS).withColumn("col", F.lit(0))
+    fonts = spark.createDataFrame([("d", "1")], "doc string, text_font string")
+    style = layout.speaker_style(content, fonts)
+    assert [tuple(r) for r in style.collect()] == [("d", "2", "17")]
+    assert [tuple(r) for r in layout.speeches(layout.stack_speakers(content, style, fonts)).orderBy("seq").collect()] == [("d", 1, "<b>Nom</b>", "U. Dos."), ("d", 2, "<b>Nom</b>", "Tres. ")]
+    assert layout.speaker_style(content, fonts.withColumn("text_font", F.lit("7"))).count() == 0
+
+
 def test_fragments(spark):
     rows = [("d", 0, 0, "100", "10", "50", "17", "1", "a"), ("d", 0, 1, "100.5", "60", "20", "17", "1", "b"), ("d", 0, 2, "100", "79", "5", "17", "1", "c"), ("d", 0, 3, "130", "84", "5", "17", "1", None), ("d", 0, 4, None, "89", "x", "17", "1", "e")]
     got = layout.merge_fragments(spark.createDataFrame(rows, COLS)).orderBy("line_no").collect()

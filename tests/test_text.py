@@ -73,12 +73,12 @@ def test_names(spark):
 
 
 def test_lexicon_score_and_hyphens(spark):
-    docs = spark.createDataFrame([(1, "Parlament obert, obert! zzz"), (2, ""), (3, None), (4, "par-lament obert dir-ho al Vint-i-cinc")], "id int, text string")
+    docs = spark.createDataFrame([(1, "Parlament obert, obert! zzz"), (2, ""), (3, None), (4, "par-lament obert dir-ho al Vint-i-cinc"), (5, "(Par-lament), o-bert o-bert-a")], "id int, text string")
     lex = spark.createDataFrame([("parlament",), ("obert",), ("dir-ho",), ("dirho",), ("obert",)], "word string")
     got = {r["id"]: (r["n_tokens"], r["n_known"], r["score"]) for r in quality.lexicon_scores(docs, lex, "id").collect()}
     assert got[1] == (3, 2, 0.666667) and got[2] == (0, 0, 1.0) and got[3] == (0, 0, 1.0)
     fixed = {r["id"]: r["text"] for r in quality.hyphens_fixed(docs, lex, "id").collect()}
-    assert fixed == {1: "Parlament obert, obert! zzz", 2: "", 3: None, 4: "parlament obert dir-ho al Vint-i-cinc"}
+    assert fixed == {1: "Parlament obert, obert! zzz", 2: "", 3: None, 4: "parlament obert dir-ho al Vint-i-cinc", 5: "(parlament), obert obert-a"}
     clean = {r["id"]: r["text"] for r in quality.clean_turns(docs, lex, "id").collect()}
     assert clean[4] == "parlament obert dir-ho al Vint-i-cinc"
 
@@ -89,14 +89,16 @@ def test_acceptance_rules(spark):
     url = {"names": ["A"], "url": "u"}
     records = [
         (1, "s", [turn("A", long)], [url]), (2, "s", [turn("A", long)], [url, url]), (3, "s", [turn("A", "bon dia")], [url]), (4, "s", [turn("A", "xx " * 200)], [url]),
-        (5, "s", [turn("A", long), turn("C", long)], None), (6, "s", [turn("B", long), turn("A", long)], []), (7, "only", [turn("C", long)], [url]), (8, "s", None, [url]),
+        (5, "s", [turn("A", long), turn(" C ", long)], None), (6, "s", [turn("B", long), turn("A", long + long)], []), (7, "only", [turn("C", long)], [url]), (8, "s", None, [url]),
+        (9, "s", [turn("Z ", long)], [url]), (10, "none", [turn("C", long)], [url]), (11, "s", [turn("A", "bon dia " * 60), turn("C", long), turn("A", "bon")], [url]),
     ]
     r = spark.createDataFrame(records, "record_id int, session string, text array<struct<speaker:string,text:string>>, urls array<struct<names:array<string>,url:string>>")
-    s = spark.createDataFrame([("s", 0, "C"), ("s", 1, " A "), ("only", 0, "C")], "session string, pos int, speaker string")
+    s = spark.createDataFrame([("s", "C"), ("only", " C")], "session string, chair string")
     lex = spark.createDataFrame([("bon",), ("dia",)], "word string")
     got = {x["record_id"]: x["reason"] for x in quality.judged(r, s, lex).collect()}
-    assert got == {1: None, 2: "several urls", 3: "short", 4: "lexicon", 5: None, 6: "share", 7: "only the chair", 8: "short"}
-    assert {(x["record_id"], x["pos"]) for x in quality.accepted(r, s, lex).collect()} == {(1, 0), (5, 0), (5, 1)}
+    # The speaker is one of the record's own turns; words are the speaker's.
+    assert got == {1: None, 2: "several urls", 3: "short", 4: "lexicon", 5: None, 6: "share", 7: "only the chair", 8: "only the chair", 9: None, 10: None, 11: "short"}
+    assert {(x["record_id"], x["pos"]) for x in quality.accepted(r, s, lex).collect()} == {(1, 0), (5, 0), (9, 0), (10, 0)}
 
 
 def test_speaking_rates(spark):
