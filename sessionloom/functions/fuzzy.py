@@ -8,7 +8,7 @@ import unicodedata
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
@@ -46,6 +46,33 @@ def _ratio(a: str, b: str, over: int) -> int:
     return round(100 * SequenceMatcher(None, a, b, autojunk=False).ratio())
 
 
+def name_tokens(c: Column) -> Column:
+    """The different words of a name, in lower case and in order."""
+    return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")))
+
+
+@F.pandas_udf(IntegerType())
+def _blocks_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_ratio(x, y, -1) for x, y in zip(a, b, strict=True)], dtype="int32")
+
+
+def similar_pairs(pairs: DataFrame, x: str, y: str, over: int) -> DataFrame:
+    """The pairs whose token-set similarity is above ``over``, with ``score``; x and y are columns of ``name_tokens``.
+
+    The shared words against each side have a closed form. The two sides are compared in Python only if their edit distance allows a ratio above
+    ``over``: matching blocks leave out at least as many characters as it has edits.
+    """
+    joined = lambda *parts: F.array_join(F.concat(*parts), " ")
+    shared = F.array_intersect(x, y)
+    both = pairs.withColumn("_s", F.length(F.array_join(shared, " "))).withColumn("_l", joined(shared, F.array_except(x, y))).withColumn("_r", joined(shared, F.array_except(y, x)))
+    part = lambda side: F.bround(F.lit(100.0) * (F.lit(2.0) * F.col("_s") / (F.col("_s") + F.length(side))))
+    n = F.length("_l") + F.length("_r")
+    both = both.withColumn("_part", F.when(F.col("_s") > 0, F.greatest(part("_l"), part("_r"))).otherwise(0.0).cast("int"))
+    within = (F.length("_l") > 0) & (F.length("_r") > 0) & (F.levenshtein("_l", "_r") <= n * (1 - (over + 0.5) / 100))
+    both = both.where(F.when(F.col("_part") > over, True).otherwise(within)).withColumn("score", F.when(F.col("_part") == 100, 100).otherwise(F.greatest("_part", _blocks_ratio("_l", "_r"))))
+    return both.where(F.col("score") > over).drop("_s", "_l", "_r", "_part")
+
+
 @functools.lru_cache(maxsize=100_000)
 def _tokens(s: str) -> frozenset[str]:
     return frozenset(re.sub(r"[\W_]+", " ", s.lower()).split())

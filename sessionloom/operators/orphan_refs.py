@@ -4,9 +4,8 @@ Distinct non-null foreign keys, each with the time at which it was used, are ant
 keys' periods of life; the orphans are joined back to the referring rows for reports.
 
 Skew: the foreign side is deduplicated before the join; keys used at more than ``hot_rows`` different times
-are salted by the time and their parents repeated once per salt. The list of hot keys has at most
-(references / hot_rows) rows of some 100 bytes, which bounds its broadcast. Parent rows of one key are
-collapsed before they are ordered.
+are salted by the time and their parents repeated once per salt. Parent rows of one key are
+collapsed before they are ordered. The list of hot keys is broadcast only if the planner finds it small enough.
 
 Defined results: null keys are no references; blank keys count as null; repeated rows count once; a parent
 without ``registered_at`` never lives; empty tables give no parents or no orphans.
@@ -56,9 +55,9 @@ def orphan_keys(references: DataFrame, parents: DataFrame, hot_rows: int = HOT_R
     )
     salts = F.coalesce("salts", F.lit(1))
     keys = ["ref_field", "ref_key"]
-    left = probes.join(F.broadcast(hot), keys, "left").withColumn("salt", F.pmod(F.xxhash64("used_at"), salts).cast("int")).drop("salts")
+    left = probes.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64("used_at"), salts).cast("int")).drop("salts")
     right = (
-        live_periods(parents).join(F.broadcast(hot), keys, "left")
+        live_periods(parents).join(hot, keys, "left")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     )
     alive = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,8 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.functions.fuzzy import name_key, similarity_over
+from sessionloom.functions.codes import zero_padded
+from sessionloom.functions.fuzzy import name_key, name_tokens, similar_pairs, similarity_over
 from sessionloom.functions.text import strip, title_and_name, without_tags
+from sessionloom.operators.runs import block_contents
 from sessionloom.tables import written
 
 PAUSE = "mesa"
@@ -34,34 +37,37 @@ def apply_aliases(seq: DataFrame, alias: DataFrame, key: str = "session") -> Dat
     return keyed.join(alias, [key, "alias"], "left").withColumn("speaker", F.coalesce("name", "speaker")).drop("alias", "name")
 
 
-def _best(pairs: DataFrame, threshold: int, key: str) -> DataFrame:
-    """Each metadata name with its best text name above the threshold; ties go to the lesser name."""
-    # So many tasks, as a few bytes of names make far more pairs than the planner expects.
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = pairs.repartition(tasks, key, "meta_name").withColumn("score", similarity_over(F.lower("text_name"), F.lower("meta_name"), threshold)).where(F.col("score") > 0)
+def _best(scored: DataFrame, key: str) -> DataFrame:
+    """Each metadata name with its best text name; ties go to the lesser name."""
     return scored.groupBy(key, "meta_name").agg(F.min_by("text_name", F.struct(-F.col("score"), "text_name")).alias("text_name")).select(key, "text_name", "meta_name")
 
 
 def match_names(text: DataFrame, meta: DataFrame, alias: DataFrame, key: str = "session") -> DataFrame:
     """(key, text_name, meta_name): the chair, then names above 90, then aliases, then the rest above 80.
 
-    Names are distinct per session before they are scored and only the names of one session meet, so the pairs
-    are bounded by the speakers of a session. A text name may take several metadata names, not the reverse.
+    Names are distinct per session, and their tokens are made once each. The pairs of a session are scored in one
+    pass for both thresholds; they are pruned within the join, so that only those that may be similar are rows. A
+    text name may take several metadata names, not the reverse.
     """
-    t = written(text.select(key, F.col("speaker").alias("text_name")).where("text_name is not null").distinct(), "text-names")
-    m = written(meta.select(key, F.col("speaker").alias("meta_name")).where("meta_name is not null").distinct(), "meta-names")
+    names = lambda df, name: df.select(key, F.col("speaker").alias(name)).where(F.col(name).isNotNull()).distinct()
+    t, m = written(names(text, "text_name"), "text-names"), written(names(meta, "meta_name"), "meta-names")
     chairs = t.where(F.col("text_name") == PAUSE).join(m.where(F.col("meta_name") == PAUSE), key).select(key, "text_name", "meta_name")
     t1, m1 = (x.join(chairs, [key, c], "left_anti") for x, c in ((t, "text_name"), (m, "meta_name")))
-    first = _best(t1.join(m1, key), FIRST, key)
+    # So many tasks, as a few bytes of names make far more pairs than the planner expects.
+    tasks = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (x.withColumn(f"{c}_tokens", name_tokens(F.col(c))).repartition(tasks, key) for x, c in ((t1, "text_name"), (m1, "meta_name")))
+    pairs = left.join(right, key)
+    scored = written(similar_pairs(pairs, "text_name_tokens", "meta_name_tokens", min(FIRST, REST)).select(key, "text_name", "meta_name", "score"), "name-scores")
+    first = _best(scored.where(F.col("score") > FIRST), key)
     done = written(chairs.unionByName(first), "matches-first")  # three later steps read it
     t2 = t.join(done, [key, "text_name"], "left_anti").withColumn("k", name_key(F.col("text_name")))
     titled = t2.where(~F.col("k").contains("mesa") & ~F.col("k").contains("president")).join(alias, key)
-    likely = titled.withColumn("score", similarity_over(F.col("k"), F.col("alias"), ALIAS)).where(F.col("score") > 0)
+    likely = similar_pairs(titled.withColumn("x", name_tokens(F.col("k"))).withColumn("y", name_tokens(F.col("alias"))), "x", "y", ALIAS)
     likely = likely.join(done.select(key, F.col("text_name").alias("name"), "meta_name"), [key, "name"])
     by_alias = likely.groupBy(key, "text_name").agg(F.min_by("meta_name", F.struct(-F.col("score"), "name", "meta_name")).alias("meta_name"))
     known = written(done.unionByName(by_alias), "matches-known")
-    t3, m3 = t.join(known, [key, "text_name"], "left_anti"), m.join(known, [key, "meta_name"], "left_anti")
-    return known.unionByName(_best(t3.join(m3, key), REST, key))
+    rest = scored.where(F.col("score") > REST).join(known, [key, "text_name"], "left_anti").join(known, [key, "meta_name"], "left_anti")
+    return known.unionByName(_best(rest, key))
 
 
 def speaker_index(text: DataFrame, meta: DataFrame, matched: DataFrame, key: str = "session") -> DataFrame:
@@ -84,72 +90,76 @@ def encoded(block_rows: DataFrame, index: DataFrame, side: str, key: str = "sess
     return block_rows.join(first, [key, "speaker"])
 
 
-def _gotoh(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Score matrix of the global alignment, row by row; a row is one running maximum."""
-    m, n = len(a), len(b)
-    score = np.zeros((m + 1, n + 1), np.int64)
-    steps = np.arange(n + 1) * GAP
-    score[0] = steps
-    for i in range(1, m + 1):
-        through = score[i - 1, :-1] + np.where(b == a[i - 1], MATCH, MISMATCH)
-        best = np.concatenate(([i * GAP], np.maximum(through, score[i - 1, 1:] + GAP)))
-        score[i] = np.maximum.accumulate(best - steps) + steps
-    return score
-
-
-def global_alignment(a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], int]:
-    """Needleman-Wunsch: pairs of elements (GAP_INDEX for a gap) and the score.
-
-    Tracing back prefers the diagonal, then a gap in ``b``, then a gap in ``a``.
-    """
-    x, y = np.asarray(a, np.int64), np.asarray(b, np.int64)
-    score = _gotoh(x, y)
-    i, j, out = len(a), len(b), []
-    while i and j:
-        here = score[i, j]
-        if here == score[i - 1, j - 1] + (MATCH if a[i - 1] == b[j - 1] else MISMATCH):
+class _Scores:
+    """The score matrix of an alignment with linear gaps. Every k-th row is kept, the rows between are made again when they
+    are read, so that two sequences take about 8 * length * sqrt(length) bytes; a row is one running maximum."""
+
+    def __init__(self, a: list[int], b: list[int], local: bool) -> None:
+        self.a, self.b, self.local = np.asarray(a, np.int64), np.asarray(b, np.int64), local
+        self.steps = np.arange(len(b) + 1) * GAP
+        self.every = max(1, math.isqrt(len(a)))
+        row = np.zeros(len(b) + 1, np.int64) if local else self.steps
+        self.kept, self.best, self.at = [row], 0, (0, 0)
+        for i in range(1, len(a) + 1):
+            row = self._next(row, i)
+            if i % self.every == 0:
+                self.kept.append(row)
+            if local and (top := int(row.max())) >= self.best:
+                self.best, self.at = top, (i, int(np.nonzero(row == top)[0][-1]))
+        self.last, self.block, self.rows = row, -1, []
+
+    def _next(self, row: np.ndarray, i: int) -> np.ndarray:
+        through = row[:-1] + np.where(self.b == self.a[i - 1], MATCH, MISMATCH)
+        best = np.concatenate(([0 if self.local else i * GAP], np.maximum(through, row[1:] + GAP)))
+        return np.maximum.accumulate((np.maximum(best, 0) if self.local else best) - self.steps) + self.steps
+
+    def __call__(self, i: int, j: int) -> int:
+        block = i // self.every
+        if self.block * self.every <= i < self.block * self.every + len(self.rows):
+            block = self.block  # the row after the block is held too, as a step back reads two rows
+        else:
+            rows = [self.kept[block]]
+            for k in range(block * self.every + 1, min((block + 1) * self.every, len(self.a)) + 1):
+                rows.append(self._next(rows[-1], k))
+            self.block, self.rows = block, rows
+        return int(self.rows[i - block * self.every][j])
+
+
+def _traced(score: _Scores, a: list[int], b: list[int], i: int, j: int) -> tuple[list[tuple[int, int]], int, int]:
+    """The aligned pairs back from (i, j), the last first, and where they begin: the diagonal is preferred, then a gap in ``b``, then a gap in ``a``."""
+    out = []
+    while i and j and (not score.local or score(i, j) > 0):
+        here, up = score(i, j), [score(i - 1, j - 1), score(i - 1, j)]
+        if here == up[0] + (MATCH if a[i - 1] == b[j - 1] else MISMATCH):
             i, j = i - 1, j - 1
             out.append((a[i], b[j]))
-        elif here == score[i - 1, j] + GAP:
+        elif here == up[1] + GAP:
             i -= 1
             out.append((a[i], GAP_INDEX))
         else:
             j -= 1
             out.append((GAP_INDEX, b[j]))
+    return out, i, j
+
+
+def global_alignment(a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], int]:
+    """Needleman-Wunsch: pairs of elements (GAP_INDEX for a gap) and the score."""
+    score = _Scores(a, b, False)
+    out, i, j = _traced(score, a, b, len(a), len(b))
     out += [(v, GAP_INDEX) for v in reversed(a[:i])] + [(GAP_INDEX, v) for v in reversed(b[:j])]
-    return out[::-1], int(score[-1, -1])
+    return out[::-1], int(score.last[-1])
 
 
 def local_alignment(a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], int]:
     """Smith-Waterman: the aligned pairs of the best local region (the last one met on ties) and its score; nothing for an empty sequence."""
-    m, n = len(a), len(b)
-    score = np.zeros((m + 1, n + 1), np.int64)
-    best, at = 0, (0, 0)
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            through = score[i - 1, j - 1] + (MATCH if a[i - 1] == b[j - 1] else MISMATCH)
-            score[i, j] = max(0, through, score[i - 1, j] + GAP, score[i, j - 1] + GAP)
-            if score[i, j] >= best:
-                best, at = int(score[i, j]), (i, j)
-    i, j, out = *at, []
-    while i and j and score[i, j] > 0:
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if a[i - 1] == b[j - 1] else MISMATCH):
-            i, j = i - 1, j - 1
-            out.append((a[i], b[j]))
-        elif score[i, j] == score[i - 1, j] + GAP:
-            i -= 1
-            out.append((a[i], GAP_INDEX))
-        else:
-            j -= 1
-            out.append((GAP_INDEX, b[j]))
-    return out[::-1], best
+    score = _Scores(a, b, True)
+    return _traced(score, a, b, *score.at)[0][::-1], score.best
 
 
 def align(left: DataFrame, right: DataFrame, key: str = "session", local: bool = False) -> DataFrame:
     """(key, row_no, left_idx, right_idx, score): the alignment of two sequences (key, pos, idx); null is a gap.
 
-    One pair of sequences is one row (arrays ordered by pos), aligned in numpy within the partition; memory is
-    the product of the block counts of one session.
+    One pair of sequences is one row (arrays ordered by pos), aligned in numpy within the partition.
     """
     side = lambda df, name: df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "idx"))), lambda x: x["idx"]).alias(name))
     both = side(left, "a").join(side(right, "b"), key, "full")
@@ -228,3 +238,44 @@ def by_code_or_date(texts: DataFrame, sessions: DataFrame, date_only: bool = Fal
 
 def clean_names(names: Column) -> Column:
     return F.transform(names, strip)
+
+
+def alignable(index: DataFrame, key: str = "session") -> DataFrame:
+    """(key) of the sessions with more than two entries of the speaker index; the blocks of others stay as they are."""
+    return index.groupBy(key).agg(F.count("*").alias("n")).where("n > 2").select(key)
+
+
+def speaker_pairs(index: DataFrame, chairs: DataFrame, key: str = "session") -> DataFrame:
+    """(key, pair_no, text_name, meta_name): the chair's names on both sides, then the index without its first entry, missing names empty.
+
+    chairs: key, text_chair, meta_chair.
+    """
+    first = chairs.select(key, F.lit(0).cast("bigint").alias("pair_no"), F.col("text_chair").alias("text_name"), F.split_part("meta_chair", F.lit("|"), F.lit(1)).alias("meta_name"))
+    rest = index.where("idx > 0").select(key, F.col("idx").alias("pair_no"), F.coalesce("text_name", F.lit("")).alias("text_name"), F.coalesce("meta_name", F.lit("")).alias("meta_name"))
+    return first.unionByName(rest)
+
+
+def session_records(pairs: DataFrame, said: DataFrame, media: DataFrame, key: str = "session") -> DataFrame:
+    """(key, file_no, text, urls): the session text record of each pair of blocks, numbered 01, 02, ... within its session.
+
+    pairs: key, pair_no, left and right (start, end); said: key, pos, speaker, text; media: key, pos, names, url. Positions are dense
+    and blocks inclusive. A block without elements gives an empty list.
+    """
+    def contents(side: str, elements: DataFrame, fields: list[str]) -> DataFrame:
+        rows = block_contents(pairs.select(key, F.col("pair_no").alias("block_no"), f"{side}.start", f"{side}.end"), elements.select(key, "pos", *fields), key)
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("e")))), lambda x: x["e"])
+        return rows.groupBy(key, F.col("block_no").alias("pair_no")).agg(ordered.alias(side))
+
+    empty = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    both = pairs.select(key, "pair_no").join(contents("left", said, ["speaker", "text"]), [key, "pair_no"], "left").join(contents("right", media, ["names", "url"]), [key, "pair_no"], "left")
+    w = Window.partitionBy(key).orderBy("pair_no")
+    return both.select(
+        key, zero_padded(F.row_number().over(w)).alias("file_no"), empty("left", "array<struct<speaker:string,text:string>>").alias("text"), empty("right", "array<struct<names:array<string>,url:string>>").alias("urls"),
+    )
+
+
+def speakers_of_blocks(text: DataFrame, meta: DataFrame, alias: DataFrame, key: str = "session") -> DataFrame:
+    """(key, text_speakers, meta_speakers): how many different speakers the blocks of each side have, aliases of the text side resolved."""
+    n = lambda df, name: df.groupBy(key).agg(F.countDistinct("speaker").alias(name))
+    both = n(apply_aliases(text, alias, key), "text_speakers").join(n(meta, "meta_speakers"), key, "full")
+    return both.select(key, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("text_speakers", "meta_speakers")])

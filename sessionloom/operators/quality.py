@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.codes import shard_path, stem
 from sessionloom.functions.text import VALID_WORD, n_words, punctuation, score_tokens, sentences, strip, structure_clean, words
 from sessionloom.tables import written
 
 # Least lexicon score, words of the speaker, and their share of all words; words per minute.
 SCORE, WORDS, SHARE = 0.7, 130, 0.7
 SLOWEST, FASTEST = 95, 195
+# Turns that are too many for the manifest; folders of texts and audio.
+TURNS = 3
+TEXTS, AUDIO = "for_axlotl", "audio"
 
 
 def lexicon_scores(texts: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
@@ -119,3 +123,23 @@ def speaking_rates(texts: DataFrame, media: DataFrame) -> DataFrame:
     rate = F.col("words") / F.col("duration") * 60
     here = texts.select("record_id", "media_url", n_words(F.col("text")).alias("words")).join(media.where("duration > 0"), "media_url")
     return here.select("record_id", "words", "duration", F.round(rate, 4).alias("words_per_minute"), rate.between(SLOWEST, FASTEST).alias("fits"))
+
+
+def manifest_paths(records: DataFrame) -> DataFrame:
+    """The records (session, filepath, media_url, ...) with the paths of their clean text and of their audio."""
+    name = F.concat(F.concat_ws("-", "session", stem(F.col("filepath")), stem(F.col("media_url"))), F.lit(".txt"))
+    return records.withColumn("text_path", F.concat(F.lit(f"{TEXTS}/"), "session", F.lit("/"), name)).withColumn("audio_path", shard_path(F.lit(AUDIO), F.col("media_url")))
+
+
+def manifest(records: DataFrame, media: DataFrame, done: DataFrame) -> DataFrame:
+    """(text_path, audio_path, text, words_per_minute, done): records (session, filepath, text, media_url) whose audio exists and whose text stands.
+
+    The text stands if it was written before (done: text_path), or if the record has fewer than three turns and is
+    spoken at a plausible rate. media: media_url, duration. Only texts with ``done`` false are to be written.
+    """
+    whole = F.array_join(F.transform("text", lambda t: F.coalesce(t["text"], F.lit(""))), " ")
+    old = done.select("text_path").distinct().withColumn("done", F.lit(True))
+    here = manifest_paths(records).join(media.where("duration > 0").select("media_url", "duration"), "media_url").join(old, "text_path", "left")
+    rate = n_words(whole) / F.col("duration") * 60
+    here = here.select("text_path", "audio_path", F.size("text").alias("turns"), whole.alias("text"), rate.alias("words_per_minute"), F.coalesce("done", F.lit(False)).alias("done"))
+    return here.where(F.col("done") | (F.col("turns") < TURNS) & F.col("words_per_minute").between(SLOWEST, FASTEST)).drop("turns")

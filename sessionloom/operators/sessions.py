@@ -30,3 +30,9 @@ def croppable(records: DataFrame, found: DataFrame, done: DataFrame) -> DataFram
 def sessions_on(sessions: DataFrame, date: str) -> DataFrame:
     """The stored sessions of one date; the filter reaches the scan."""
     return sessions.where(F.col("date") == date)
+
+
+def with_interventions(sessions: DataFrame, interventions: DataFrame, *fields: str) -> DataFrame:
+    """The sessions (_id, ...) as nested documents: ``interventions`` holds the ``fields`` of their interventions (session_id, pos, ...) in order."""
+    each = interventions.groupBy(F.col("session_id").alias("_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("i")))), lambda x: x["i"]).alias("interventions"))
+    return sessions.join(each, "_id", "left").withColumn("interventions", F.coalesce("interventions", F.array().cast(each.schema["interventions"].dataType)))

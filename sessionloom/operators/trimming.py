@@ -11,6 +11,8 @@ from sessionloom.functions.text import once
 ENDS, SHORTEST = 5, 3
 EDGE, LONG = 60.0, 100.0
 PADDING = 0.2
+# Fixed value: frames a second of the recogniser.
+FRAMES = 100
 
 
 def audio_limits(duration: Column) -> Column:
@@ -27,6 +29,15 @@ def searched_parts(duration: Column) -> Column:
     return F.when(duration > LONG, F.array(part(F.lit(0.0), F.lit(EDGE)), part(duration - EDGE, duration))).otherwise(F.array(whole, whole))
 
 
+def seek(start: Column) -> Column:
+    """struct(seek, rest): the whole seconds before a start, and what is left to skip after seeking there."""
+    return F.struct(F.floor(start).alias("seek"), (start - F.floor(start)).alias("rest"))
+
+
+def frame_seconds(frame: Column) -> Column:
+    return frame / FRAMES
+
+
 def windows(words: Column, size: int) -> Column:
     """All runs of ``size`` neighbouring words; none if there are fewer."""
     none = F.array().cast("array<array<string>>")

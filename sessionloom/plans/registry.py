@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sessionloom.plans import reference_checks, sequence_queries, text_queries
+from sessionloom.plans import record_queries, reference_checks, sequence_queries, text_queries
 
-MODULES = [reference_checks, sequence_queries, text_queries]
+MODULES = [reference_checks, sequence_queries, text_queries, record_queries]
 
 
 def queries() -> dict:

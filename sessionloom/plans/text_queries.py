@@ -251,6 +251,14 @@ r AS (SELECT 'r' || record_id AS record_id, session, text, coalesce(len(urls), 0
 a AS (SELECT record_id, n_urls, chair, list_sort(list_filter(list_distinct(list_transform(text, lambda x: {_STRIP("x.speaker")})), lambda x: x IS NOT NULL AND x IS DISTINCT FROM chair))[1] AS speaker,
   CASE WHEN {_STRIP("text[len(text)].speaker")} = chair THEN text[1:len(text) - 1] ELSE text END AS t FROM r LEFT JOIN chairs ON chairs.session = r.session),
 b AS (SELECT *, array_to_string(list_transform(t, lambda x: coalesce(x.text, '')), '') AS all_text, array_to_string(list_transform(list_filter(t, lambda x: {_STRIP("x.speaker")} = speaker), lambda x: coalesce(x.text, '')), '') AS own FROM a)"""
+_STRUCTURE = lambda x: f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace({x}, chr(160), ' '), chr(173), '-'),
+  '<i>\\(.*?\\) ?</i>', '', 'g'), '\\(.*?\\)', '', 'g'), '\\{{.+\\}}', '', 'g'), ' {{2,}}', ' ', 'g'), ' \\.', '.', 'g'), '<.{{1,3}}>', '', 'g')"""
+_PUNCTUATION = lambda x: "translate(regexp_replace(translate(" + x + ", '`’', ''''''), '''+', '''', 'g'), '“”«»\"', '')"
+_SENTENCES = lambda x: f"""list_filter(list_transform(string_split(regexp_replace({x}, '{_TERM}( *[A-ZÀÉÈÜÚÍÏÓÒÇ])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: regexp_replace(x, '^{_BLANK}|{_BLANK}$', '', 'g')), lambda x: x <> '')"""
+# fixed(k, text) of src(k, text): words that only the joined form of is in the lexicon, replaced in the order in which they first stand.
+_FIXED = f"""cores AS (SELECT k, core, min(n) AS n FROM (SELECT k, unnest(c) AS core, generate_subscripts(c, 1) AS n FROM (SELECT k, list_transform(list_filter({_WORDS("text")}, lambda w: regexp_matches(w, '.-.')), lambda w: regexp_extract(w, '[a-zA-Z0-9àáéèüúíïóòçÀÁÉÈÜÚÍÏÓÒÇ\\-'']+')) AS c FROM src) a) b WHERE core <> '' GROUP BY k, core),
+wrong AS (SELECT k, list(core ORDER BY n) AS w FROM cores WHERE lower(core) NOT IN (SELECT word FROM lexicon) AND lower(replace(core, '-', '')) IN (SELECT word FROM lexicon) GROUP BY k),
+fixed AS (SELECT src.k, CASE WHEN w IS NULL THEN text ELSE list_reduce(list_concat([text], w), lambda t, c: replace(t, c, lower(replace(c, '-', '')))) END AS text FROM src LEFT JOIN wrong ON wrong.k = src.k)"""
 SQL = {
     "ref_clean_structure": f"""WITH {_TURNS} SELECT record_id, pos, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(160), ' '), chr(173), '-'),
   '<i>\\(.*?\\) ?</i>', '', 'g'), '\\(.*?\\)', '', 'g'), '\\{{.+\\}}', '', 'g'), ' {{2,}}', ' ', 'g'), ' \\.', '.', 'g'), '<.{{1,3}}>', '', 'g') AS text FROM turns WHERE text IS NOT NULL""",
@@ -303,3 +311,11 @@ AND try_cast(width AS INTEGER) > 4 AND try_cast("left" AS INTEGER) IS NOT NULL A
     "ref_catalogue_pages": "SELECT DISTINCT url, name, date, duration FROM sessions WHERE url IS NOT NULL AND name IS NOT NULL AND date IS NOT NULL AND duration IS NOT NULL",
     "ref_page_xml": 'SELECT DISTINCT ple_code AS doc, page, top, "left", width, height, font, coalesce(text, \'\') AS text FROM xml_lines WHERE ple_code IS NOT NULL AND page IS NOT NULL',
 }
+SQL["ref_hyphen_fix"] = f"WITH src AS (SELECT doc_id AS k, text FROM documents), {_FIXED} SELECT k AS doc_id, text FROM fixed"
+SQL["ref_clean_text"] = f"""WITH src AS (SELECT doc_id AS k, {_PUNCTUATION(_STRUCTURE("text"))} AS text FROM documents), {_FIXED} SELECT k AS doc_id, array_to_string({_SENTENCES("text")}, ' ') AS text FROM fixed"""
+SQL["ref_clean_sentences"] = f"""WITH each AS (SELECT doc_id, unnest(s) AS text, generate_subscripts(s, 1) - 1 AS n FROM (SELECT doc_id, {_SENTENCES(_STRUCTURE("text"))} AS s FROM documents) a),
+src AS (SELECT doc_id || '#' || n AS k, {_PUNCTUATION("text")} AS text FROM each), {_FIXED} SELECT CAST(split_part(k, '#', 1) AS BIGINT) AS doc_id, CAST(split_part(k, '#', 2) AS INTEGER) AS sentence_no, text FROM fixed"""
+SQL["ref_accepted_turns"] = SQL["ref_acceptance"].split("SELECT record_id, speaker, n_words::BIGINT")[0] + f""", ok AS (SELECT record_id, t FROM v WHERE n_urls <= 1 AND speaker IS NOT NULL AND score >= 0.7 AND own_words >= 130 AND share >= 0.7),
+turn AS (SELECT record_id, i - 1 AS pos, t[i].speaker AS speaker, t[i].text AS text FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM ok) x),
+src AS (SELECT record_id || '#' || pos AS k, {_PUNCTUATION(_STRUCTURE("text"))} AS text FROM turn), {_FIXED}
+SELECT record_id, CAST(pos AS INTEGER) AS pos, speaker, array_to_string({_SENTENCES("fixed.text")}, ' ') AS text FROM turn JOIN fixed ON fixed.k = record_id || '#' || pos"""

@@ -83,10 +83,11 @@ def lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pronunciation_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """(word, phonemes): the first token and the rest of each line; of repeated words the least."""
+    """(word, phonemes): the first token and the rest of each line; of repeated words the last."""
     parts = F.filter(F.split("value", r"\s+"), lambda w: w != "")
-    d = spark.read.text(path).select(parts.alias("p")).where("size(p) > 1")
-    return d.select(F.get("p", F.lit(0)).alias("word"), F.array_join(F.slice("p", F.lit(2), F.size("p") - 1), " ").alias("phonemes")).groupBy("word").agg(F.min("phonemes").alias("phonemes"))
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")
+    d = spark.read.text(path).select(parts.alias("p"), place).where("size(p) > 1")
+    return d.select(F.get("p", F.lit(0)).alias("word"), "at", F.array_join(F.slice("p", F.lit(2), F.size("p") - 1), " ").alias("phonemes")).groupBy("word").agg(F.max_by("phonemes", "at").alias("phonemes"))
 
 
 def phoneme_conversion(spark: SparkSession, path: str) -> DataFrame:

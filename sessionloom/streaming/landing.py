@@ -29,8 +29,3 @@ def append_new(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery
         insert_if_absent(df.drop("_id"), table)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def counts_by_hour(spark: SparkSession, path: str, schema: str, time: str, delay: str = "10 minutes") -> DataFrame:
-    """Tumbling hourly counts of a landed table, late rows dropped after ``delay``."""
-    return spark.readStream.schema(schema).parquet(path).withWatermark(time, delay).groupBy(F.window(time, "1 hour")).agg(F.count("*").alias("n"))

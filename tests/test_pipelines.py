@@ -41,6 +41,26 @@ def test_alignment_of_two_sequences(spark):
     assert pipelines.alignment(side(text).limit(0), side(meta).limit(0)).count() == 0
 
 
+def test_records_of_two_sequences(spark):
+    text = "El president;Pere Pi;El president;Anna Roc;El president;Joan Mas;El president;Pere Pi;El president".split(";")
+    meta = "Mesa|x;Pi, Pere;Mesa|x;Roc, Anna;Mesa|x;Mas, Joan;Mesa|x;Pi, Pere;Mesa|x".split(";")
+    t = spark.createDataFrame([("s", k, n, f"t{k}") for k, n in enumerate(text)], "session string, pos long, speaker string, text string")
+    m = spark.createDataFrame([("s", k, n, [n], f"u{k}") for k, n in enumerate(meta)], "session string, pos long, speaker string, names array<string>, url string")
+    got = pipelines.records(t, m).orderBy("file_no").collect()
+    assert [(r["file_no"], [x["text"] for x in r["text"]], [u["url"] for u in r["urls"]]) for r in got] == [("01", ["t2", "t3", "t4"], ["u2", "u3", "u4"]), ("02", ["t4", "t5", "t6"], ["u4", "u5", "u6"])]
+    few = lambda df: df.where("pos < 4")
+    assert pipelines.records(few(t), few(m)).count() == 0  # the first and the last pair are never trusted
+
+
+def test_trimming_of_records(spark):
+    words = [f"w{k}" for k in range(20)]
+    turn = lambda n: [{"speaker": "A", "text": " ".join(words)}] * n
+    texts = spark.createDataFrame([("a", turn(1), 90.0), ("two", turn(2), 90.0), ("silent", turn(1), None), ("old", turn(1), 90.0)], "key string, text array<struct<speaker:string,text:string>>, duration double")
+    heard = spark.createDataFrame([(k, side, i, float(i), i + 0.5, w) for k in ("a", "two", "silent", "old") for side in ("begin", "end") for i, w in enumerate(words)], "key string, side string, pos int, start double, end double, word string")
+    got = pipelines.trimmed(texts, heard, texts.where("key = 'old'")).collect()
+    assert [(r["key"], r["start"], r["end"], r["text"]) for r in got] == [("a", 0.0, 19.7, " ".join(words))]
+
+
 def test_corpus(spark):
     turn = {"speaker": "A", "text": "Bon dia (Aplaudiments.) a tothom. " * 60}
     r = spark.createDataFrame([(1, "s", [turn], [{"names": ["A"], "url": "u"}])], "record_id int, session string, text array<struct<speaker:string,text:string>>, urls array<struct<names:array<string>,url:string>>")
