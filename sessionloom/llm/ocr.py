@@ -8,15 +8,21 @@ Scale and skew: candidates are made once for each distinct unknown word; only li
 decoder, each with the few counts it needs, joined by word or word pair. Corpus counts are partially
 aggregated. To the driver go only the confusion probabilities, one row for each entry of CONFUSIONS.
 
-Defined results: words of the lexicon stay; without candidates a line stays; ties keep the scanned word;
-words of more than 40 characters (no word of these languages) are not corrected, but may be split.
+Words may be of any length and hold any number of digits and marks, which are always wrong within a word: the
+choices for these are made together, and up to two further places at most are tried beside them. Where the choices
+are too many to be listed, the word meets the known words of one form once look-alike characters are one, and the
+differences are checked place by place. How often a word must stand in the corpus to be known is a number that
+grows with very large corpora (``least``), so that frequent misreadings do not become words.
+
+Defined results: words of the lexicon stay; without candidates a line stays; ties keep the scanned word; nothing can
+be a misreading of a known word that is shorter than any reading of it.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,60 +46,101 @@ OWN_NAME = 0.1
 BLANK = 0.02
 #: Weight of the bigram in the language model, the rest is the unigram's.
 BIGRAM = 0.7
-LONGEST = 40
+#: Choices for the wrong places of a word that are listed one by one.
+CHOICES = 1024
+#: Words of a corpus from which on the least counts of known words grow with it.
+CORPUS = 100_000_000
 CANDIDATE = "w string, v string, second string, ops array<int>, at array<int>"
 
 
-def candidates_of(w: str) -> Iterator[tuple[str, str | None, list[int], list[int]]]:
-    """(v, second half or None, confusions, places in w) for one word outside the lexicon."""
-    if len(w) <= LONGEST:
-        places = [(p, k) for k, (meant, seen) in enumerate(CONFUSIONS) for p in range(len(w)) if w.startswith(seen, p)]
-        # Digits and marks within a word are always wrong: every candidate undoes all of them.
-        wrong = {p for p in range(len(w)) if w[p] in "0123456789!|" or w[p] == "I" and p}
-        most = max(2, len(wrong) + 1) if len(wrong) <= 4 else 0
-        for n in range(max(1, len(wrong)), most + 1):
-            if math.comb(len(places), n) > 5000:
-                break
-            for chosen in combinations(places, n):
-                spans = sorted((p, p + len(CONFUSIONS[k][1]), k) for p, k in chosen)
-                if any(a[1] > b[0] for a, b in zip(spans, spans[1:], strict=False)) or not wrong <= {p for p, _, _ in spans}:
-                    continue
-                out, last = [], 0
-                for p, end, k in spans:
-                    out += [w[last:p], CONFUSIONS[k][0]]
-                    last = end
-                yield "".join(out) + w[last:], None, [k for _, _, k in spans], [p for p, _, _ in spans]
+_SINGLE = {c: [k for k, (_, seen) in enumerate(CONFUSIONS) if seen == c] for c in "0123456789!|I"}
+# Characters that confusions of one character by one make interchangeable.
+_ALIKE: dict[str, str] = {}
+for _meant, _seen in CONFUSIONS:
+    if len(_meant) == len(_seen) == 1:
+        _low, _high = sorted((_ALIKE.get(_meant, _meant), _ALIKE.get(_seen, _seen)))
+        _ALIKE |= {_meant: _low, _seen: _low} | {c: _low for c, to in _ALIKE.items() if to == _high}
+
+
+def least(n: int, total: float) -> int:
+    """The least count ``n`` of a known word in a corpus of ``total`` words."""
+    return max(n, round(n * total / CORPUS))
+
+
+def wrong_places(w: str) -> list[int]:
+    """Digits and marks within a word, and capitals I but at its beginning."""
+    return [p for p, c in enumerate(w) if c in _SINGLE and (c != "I" or p)]
+
+
+def listed(w: str) -> bool:
+    """Whether the choices for the wrong places are few enough to be listed."""
+    return math.prod(len(_SINGLE[w[p]]) for p in wrong_places(w)) <= CHOICES
+
+
+def candidates_of(w: str, longest: int) -> Iterator[tuple[str, str | None, list[int], list[int]]]:
+    """(v, second half or None, confusions, places in w) for one word outside the lexicon; known words have up to ``longest`` characters."""
+    wrong = wrong_places(w)
+    more = 1 if wrong else 2
+    # Each place undone takes one character at most.
+    if listed(w) and len(w) - len(wrong) - more <= longest:
+        places = [(p, k) for k, (meant, seen) in enumerate(CONFUSIONS) for p in range(len(w)) if w.startswith(seen, p) and not any(q in wrong for q in range(p, p + len(seen)))]
+        for fixed in product(*([(p, k) for k in _SINGLE[w[p]]] for p in wrong)):
+            for n in range(0 if wrong else 1, more + 1):
+                for others in combinations(places, n):
+                    spans = sorted((p, p + len(CONFUSIONS[k][1]), k) for p, k in (*fixed, *others))
+                    if any(a[1] > b[0] for a, b in zip(spans, spans[1:], strict=False)):
+                        continue
+                    out, last = [], 0
+                    for p, end, k in spans:
+                        out += [w[last:p], CONFUSIONS[k][0]]
+                        last = end
+                    yield "".join(out) + w[last:], None, [k for _, _, k in spans], [p for p, _, _ in spans]
     for p in range(1, len(w)):
         a, b = w[:p], w[p:]
-        if b not in ("’",) and not a.endswith("’"):
+        if p <= longest and len(b) <= longest and b not in ("’",) and not a.endswith("’"):
             yield a, b, [LOST], [p]
 
 
-def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _candidates(batches: Iterator[pd.DataFrame], longest: int) -> Iterator[pd.DataFrame]:
     for b in batches:
         for k in range(0, len(b), 500):
-            rows = [(w, v, s, ops, at) for w in b["w"].iloc[k : k + 500] for v, s, ops, at in candidates_of(w)]
+            rows = [(w, v, s, ops, at) for w in b["w"].iloc[k : k + 500] for v, s, ops, at in candidates_of(w, longest)]
             yield pd.DataFrame(rows, columns=["w", "v", "second", "ops", "at"])
 
 
-def candidates(unknown: DataFrame, vocab: DataFrame) -> DataFrame:
+def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of words of one form whose differences are all confusions and undo every wrong place."""
+    of = {(meant, seen): k for k, (meant, seen) in reversed(list(enumerate(CONFUSIONS)))}
+    for b in batches:
+        rows = []
+        for w, v in zip(b["w"], b["v"], strict=True):
+            off = [p for p in range(len(w)) if w[p] != v[p]]
+            if set(wrong_places(w)) <= set(off) and all((v[p], w[p]) in of for p in off):
+                rows.append((w, v, None, [of[v[p], w[p]] for p in off], off))
+        yield pd.DataFrame(rows, columns=["w", "v", "second", "ops", "at"])
+
+
+def candidates(unknown: DataFrame, vocab: DataFrame, total: float, longest: int) -> DataFrame:
     """(w, n) -> (w, n, v, second, ops, at, nv): the candidates that are known words, or two of them."""
-    every = unknown.select("w").mapInPandas(_candidates, CANDIDATE).join(unknown, "w")
-    known = vocab.where("lex or n >= 3")
+    every = unknown.select("w").mapInPandas(lambda it: _candidates(it, longest), CANDIDATE)
+    form = lambda c: F.translate(c, "".join(_ALIKE), "".join(_ALIKE.values()))
+    many = unknown.where(F.length(F.regexp_replace("w", "[^0-9!|I]", "")) * math.log(3) > math.log(CHOICES)).select("w", form("w").alias("form"))
+    every = every.unionByName(many.join(vocab.select("v", form("v").alias("form")), "form").where("length(w) = length(v)").select("w", "v").mapInPandas(_alike, CANDIDATE)).join(unknown, "w")
+    known = vocab.where(F.col("lex") | (F.col("n") >= least(3, total)))
     one = every.where("second is null").join(known.select("v", F.col("n").alias("nv"), "lex"), "v").where("lex or nv >= 3 * n").select("w", "n", "v", "second", "ops", "at", "nv")
-    good = vocab.where("lex or n >= 10")
+    good = vocab.where(F.col("lex") | (F.col("n") >= least(10, total)))
     first = good.select("v", F.col("n").alias("nv"), F.col("lex").alias("lex_v"))
     second = good.select(F.col("v").alias("second"), F.col("n").alias("n2"), F.col("lex").alias("lex_2"))
     fits = "(lex_v or nv >= 5 * n) and (lex_2 or n2 >= 5 * n) and (lex_v or lex_2) and (length(v) > 1 or lex_v) and (length(second) > 1 or lex_2)"
     two = every.where("second is not null").join(first, "v").join(second, "second").where(fits).select("w", "n", "v", "second", "ops", "at", F.least("nv", "n2").alias("nv"))
-    return one.unionByName(two)
+    return one.unionByName(two).distinct()
 
 
-def confusion_probabilities(cands: DataFrame, vocab: DataFrame) -> dict[int, float]:
+def confusion_probabilities(cands: DataFrame, vocab: DataFrame, total: float) -> dict[int, float]:
     """Share of the places of each confusion that were misread: words with one candidate against all places in known words."""
     seen = cands.where("second is null and size(ops) = 1 and nv > 10 * n").select(F.col("ops")[0].alias("k"), "w", "n").distinct().groupBy("k").agg(F.sum("n").alias("seen"))
     counts = [F.sum(F.col("n") * ((F.length("v") - F.length(F.replace("v", F.lit(meant)))) / len(meant))).alias(str(k)) for k, (meant, _) in enumerate(CONFUSIONS)]
-    places = vocab.where("lex or n >= 10").agg(*counts).first()
+    places = vocab.where(F.col("lex") | (F.col("n") >= least(10, total))).agg(*counts).first()
     got = {r["k"]: float(r["seen"]) for r in seen.collect()}
     return {k: min(0.05, max(1e-7, (got.get(k, 0.0) + 0.1) / (float(places[str(k)] or 0) + 1000.0))) for k in range(len(CONFUSIONS))}
 
@@ -134,7 +181,7 @@ def _decode(batches: Iterator[pd.DataFrame], total: float) -> Iterator[pd.DataFr
         yield pd.DataFrame(rows, columns=["line_id", "start", "stop", "fixed"])
 
 
-def corrections(tokens: DataFrame, vocab: DataFrame, cands: DataFrame, chances: dict[int, float]) -> DataFrame:
+def corrections(tokens: DataFrame, vocab: DataFrame, cands: DataFrame, chances: dict[int, float], total: float) -> DataFrame:
     """(line_id, words, bold) -> (line_id, start, stop, fixed): words start..stop-1 of the line read ``fixed``.
 
     A null in ``words`` stands for a piece of a broken word, which ends the context.
@@ -152,8 +199,8 @@ def corrections(tokens: DataFrame, vocab: DataFrame, cands: DataFrame, chances:
     both = tokens.select("line_id", F.expr("explode(transform(sequence(0, greatest(size(words) - 2, 0)), i -> struct(i as pos, get(words, i) as x, get(words, i + 1) as y)))").alias("p")).select("line_id", "p.*").where("x is not null and y is not null")
     glued = both.groupBy("x", "y").agg(F.count("*").alias("together")).withColumn("v", F.concat("x", "y"))
     x, y = (counts.select(F.col("key").alias(c), F.col("k").alias(f"k_{c}"), F.col("lex").alias(f"lex_{c}")) for c in "xy")
-    merged = glued.join(counts.where("lex or k >= 20").select(F.col("key").alias("v"), F.col("k").alias("nv")), "v").join(x, "x", "left").join(y, "y", "left")
-    known = lambda c: F.coalesce(f"lex_{c}", F.lit(False)) | (F.coalesce(f"k_{c}", F.lit(0)) > F.greatest(F.lit(20), F.col("nv") * 0.05))
+    merged = glued.join(counts.where(F.col("lex") | (F.col("k") >= least(20, total))).select(F.col("key").alias("v"), F.col("k").alias("nv")), "v").join(x, "x", "left").join(y, "y", "left")
+    known = lambda c: F.coalesce(f"lex_{c}", F.lit(False)) | (F.coalesce(f"k_{c}", F.lit(0)) > F.greatest(F.lit(least(20, total)), F.col("nv") * 0.05))
     alone = ~F.coalesce("lex_x", F.lit(False)) & ~F.coalesce("lex_y", F.lit(False)) & (F.col("together") <= 0.2 * F.col("nv"))
     merged = merged.where(~(known("x") & known("y")) & ((F.col("together") <= 1 + 0.01 * F.col("nv")) | alone)).select("x", "y", "v", "nv")
     join = both.join(written(merged, "ocr-merged"), ["x", "y"]).select("line_id", F.col("pos").alias("start"), (F.col("pos") + 2).alias("stop"), "v", F.lit(None).cast("string").alias("second"), F.lit(math.log(BLANK)).alias("logp"), F.greatest("nv", F.lit(1)).alias("nv"), F.lit(1).cast("bigint").alias("n2"), F.lit(True).alias("kind"))
@@ -174,5 +221,4 @@ def corrections(tokens: DataFrame, vocab: DataFrame, cands: DataFrame, chances:
     pairs = asked.join(bigrams, ["x", "y"]).groupBy("line_id").agg(F.collect_list(F.struct("x", "y", "n")).alias("pairs"))
     lattice = arcs.groupBy("line_id").agg(F.collect_list(F.struct("start", "stop", "v", "second", "logp", "nv", "n2", "kind")).alias("arcs"))
     lines = lattice.join(tokens.select("line_id", "words"), "line_id").join(pairs, "line_id", "left").select("line_id", "words", "arcs", "pairs")
-    total = float(vocab.agg(F.sum("n")).first()[0] or 1)
     return lines.mapInPandas(lambda it: _decode(it, total), "line_id bigint, start int, stop int, fixed string")

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionloom.llm.scanned import noise, paragraphs, repair
+from sessionloom.llm.scanned import Repair, noise, paragraphs, repair
 from sessionloom.tables import load
 
 
+def repaired(spark: SparkSession, d: str) -> Repair:
+    return repair(load(spark, d, "xml_lines"), load(spark, d, "lexicon"), load(spark, d, "diary_pages", "ple_code", "width"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return noise(repair(load(spark, d, "xml_lines"), load(spark, d, "lexicon")))
+    return noise(repaired(spark, d))
 
 
 def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    return paragraphs(repair(load(spark, d, "xml_lines"), load(spark, d, "lexicon")))
+    return paragraphs(repaired(spark, d))
 
 
 QUERIES = {"p3_found": p3_found, "p3_paragraphs": p3_paragraphs}

@@ -20,36 +20,41 @@ class Repair:
     flowing: DataFrame  # text lines with their successor
     broken: DataFrame  # line_id, next_id, a, b, joined, broken
     fixes: DataFrame  # line_id, start, stop, fixed
-    pieces: DataFrame  # line_id, joined, fixed: words broken at a line's end that are misread in this line
+    pieces: DataFrame  # line_id, next_id, a, b, fixed, place: words broken at a line's end, how they are read, and where in a + b they differ first
 
 
-def repair(lines: DataFrame, lexicon: DataFrame) -> Repair:
+def repair(lines: DataFrame, lexicon: DataFrame, pages: DataFrame) -> Repair:
+    """The noise of the lines. pages: (ple_code, width); a transcript without pages there is as wide as its lines reach, with margins alike."""
     prep = written(page_lines.prepared(lines), "scan-lines")
-    marked = written(page_lines.furniture(prep), "scan-furniture")
+    widths = written(page_lines.widths(prep, pages), "scan-widths")
+    marked = written(page_lines.furniture(prep, widths), "scan-furniture")
     text = written(prep.where("t != ''").join(marked, "line_id", "left_anti"), "scan-text")
-    flowing = written(page_lines.flow(text), "scan-flow")
+    flowing = written(page_lines.flow(text, widths), "scan-flow")
     vocab = written(page_lines.vocabulary(text, lexicon), "scan-vocabulary")
+    size = vocab.agg(F.sum("n").alias("total"), F.max(F.length("v")).alias("longest")).first()
+    total, longest = float(size["total"] or 1), int(size["longest"] or 0)
     compounds = text.select(F.explode("compounds").alias("v")).groupBy("v").agg(F.count("*").alias("n"))
-    broken = written(page_lines.breaks(flowing, vocab, compounds), "scan-breaks")
+    broken = written(page_lines.breaks(flowing, vocab, compounds, total), "scan-breaks")
     cut = broken.where("broken")
     last = cut.select("line_id").withColumn("cut_last", F.lit(True))
     first = cut.select(F.col("next_id").alias("line_id")).distinct().withColumn("cut_first", F.lit(True))
     i_last = F.size("words") - 1
     kept = F.transform("words", lambda w, i: F.when((F.col("cut_last") & (i == i_last)) | (F.col("cut_first") & (i == 0)), None).otherwise(w))
-    tokens = text.select("line_id", "words", "bold").join(last, "line_id", "left").join(first, "line_id", "left").na.fill(False, ["cut_last", "cut_first"]).select("line_id", kept.alias("words"), "bold")
-    tokens = written(tokens, "scan-tokens")
-    said = tokens.select(F.explode("words").alias("w")).where("w is not null").unionByName(cut.select(F.col("joined").alias("w")))
+    tokens = text.select("line_id", "words", "bold").join(last, "line_id", "left").join(first, "line_id", "left").na.fill(False, ["cut_last", "cut_first"]).select((F.col("line_id") * 2).alias("line_id"), kept.alias("words"), "bold", F.col("words").alias("all_words"))
+    # A broken word is decoded between its neighbours, as a line of its own with an odd number.
+    near = lambda key, k, name: text.select(F.col("line_id").alias(key), F.get("words", k).alias(name))
+    joints = cut.join(near("line_id", F.size("words") - 2, "before"), "line_id").join(near("next_id", F.lit(1), "after"), "next_id")
+    joints = joints.select((F.col("line_id") * 2 + 1).alias("line_id"), F.array("before", "joined", "after").alias("words"), F.lit(False).alias("bold"))
+    tokens = written(tokens.drop("all_words").unionByName(joints), "scan-tokens")
+    said = tokens.where("line_id % 2 = 0").select(F.explode("words").alias("w")).where("w is not null").unionByName(cut.select(F.col("joined").alias("w")))
     unknown = said.groupBy("w").agg(F.count("*").alias("n")).join(vocab.where("lex").select(F.col("v").alias("w")), "w", "left_anti").where("length(w) > 1")
-    cands = written(ocr.candidates(written(unknown, "ocr-unknown"), vocab), "ocr-known-candidates")
-    chances = ocr.confusion_probabilities(cands, vocab)
-    fixes = written(ocr.corrections(tokens, vocab, cands, chances), "ocr-fixes")
-    # Broken words: the most probable single word, misread in the line that holds the confusion.
-    rate = F.create_map(*[x for k, p in chances.items() for x in (F.lit(k), F.lit(p))])
-    p = F.aggregate("ops", F.lit(1.0), lambda s, k: s * F.element_at(rate, k)) * F.pow(F.lit(ocr.BURST), F.size("ops") - 1)
-    likely = cands.where("second is null").withColumn("p", p * F.greatest("nv", F.lit(1))).where(F.col("p") > F.col("n") * ocr.OWN_WORD)
-    likely = likely.groupBy("w").agg(F.max_by(F.struct("v", "at"), F.struct("p", "v")).alias("best"))
-    whole = cut.join(likely.select(F.col("w").alias("joined"), "best"), "joined").withColumn("place", F.explode("best.at"))
-    pieces = whole.select(F.when(F.col("place") < F.length("a"), F.col("line_id")).otherwise(F.col("next_id")).alias("line_id"), "joined", F.col("best.v").alias("fixed")).distinct()
+    cands = written(ocr.candidates(written(unknown, "ocr-unknown"), vocab, total, longest), "ocr-known-candidates")
+    chances = ocr.confusion_probabilities(cands, vocab, total)
+    decoded = written(ocr.corrections(tokens, vocab, cands, chances, total), "ocr-fixes")
+    fixes = decoded.where("line_id % 2 = 0").withColumn("line_id", (F.col("line_id") / 2).cast("bigint"))
+    joint = decoded.where("line_id % 2 != 0 and start = 1 and stop = 2").select(((F.col("line_id") - 1) / 2).cast("bigint").alias("line_id"), "fixed")
+    where = cands.select(F.col("w").alias("joined"), F.concat_ws(" ", "v", "second").alias("fixed"), F.array_min("at").alias("place")).groupBy("joined", "fixed").agg(F.min("place").alias("place"))
+    pieces = cut.join(joint, "line_id").join(where, ["joined", "fixed"]).select("line_id", "next_id", "a", "b", "fixed", "place")
     return Repair(marked, text, flowing, broken, fixes, written(pieces, "scan-pieces"))
 
 
@@ -59,7 +64,7 @@ def noise(r: Repair) -> DataFrame:
         r.furniture.select("line_id", F.lit("furniture").alias("kind")),
         r.broken.where("broken").select("line_id", F.lit("hyphen").alias("kind")),
         r.fixes.select("line_id", F.lit("ocr").alias("kind")),
-        r.pieces.select("line_id", F.lit("ocr").alias("kind")),
+        r.pieces.select(F.when(F.col("place") < F.length("a"), F.col("line_id")).otherwise(F.col("next_id")).alias("line_id"), F.lit("ocr").alias("kind")),
     ]
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).unionByName(kinds[3]).distinct()
 
@@ -76,13 +81,29 @@ def _fixed_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.drop(columns=["t", "starts", "ends", "edits"]).assign(t=out)
 
 
+def piece_fixes(r: Repair) -> DataFrame:
+    """(line_id, start, stop, fixed): how the pieces of misread broken words are read in their own lines.
+
+    The piece without the first difference stays if the reading allows it. Pieces that are only a part of a word as the
+    line has it (behind a hyphen of its own, say) are left alone.
+    """
+    a, b, fixed = F.col("a"), F.col("b"), F.col("fixed")
+    keeps_b = (F.col("place") < F.length("a")) & (F.right(fixed, F.length(b)) == b)
+    cut = F.when(keeps_b, F.length(fixed) - F.length(b)).otherwise(F.length(a))
+    both = r.pieces.select("line_id", "next_id", "a", "b", F.substring(fixed, F.lit(1), cut).alias("head"), F.substring(fixed, cut + 1, F.length(fixed)).alias("rest"))
+    words = r.text.select("line_id", "words")
+    last = both.join(words, "line_id").where("element_at(words, -1) = a and head != a").select("line_id", (F.size("words") - 1).alias("start"), F.size("words").alias("stop"), F.col("head").alias("fixed"))
+    first = both.select(F.col("next_id").alias("line_id"), "b", "rest").join(words, "line_id").where("words[0] = b and rest != b").select("line_id", F.lit(0).alias("start"), F.lit(1).alias("stop"), F.col("rest").alias("fixed"))
+    return last.unionByName(first)
+
+
 def paragraphs(r: Repair, indent: float = 8.0) -> DataFrame:
     """(ple_code, para_no, first_line_id, is_speaker, text): the repaired text in the order of the columns.
 
     A paragraph begins at a speaker's line, after one, and at an indented line. Paragraphs are counted within
     pages; the counts of the pages before come from the much shorter table of pages.
     """
-    edits = r.fixes.groupBy("line_id").agg(F.collect_list(F.struct("start", "stop", "fixed")).alias("edits"))
+    edits = r.fixes.unionByName(piece_fixes(r)).groupBy("line_id").agg(F.collect_list(F.struct("start", "stop", "fixed")).alias("edits"))
     page = Window.partitionBy("ple_code", "page")
     order = page.orderBy("place")
     ahead = r.broken.select("line_id", "broken", F.lit(True).alias("glued"))

@@ -31,10 +31,13 @@ def transcript(lines_per_page=12, pages=4, code="c"):
     return rows, expect, add
 
 
+PAGES = [("c", 892), ("c", 892), ("c", 612), ("d", None), (None, 5)]
+
+
 def check(spark, rows, expect, words=WORDS):
     lines = spark.createDataFrame(rows, COLS)
     lexicon = spark.createDataFrame([(w,) for w in words], "word string")
-    r = repair(lines, lexicon)
+    r = repair(lines, lexicon, spark.createDataFrame(PAGES, "ple_code string, width int"))
     assert {tuple(x) for x in noise(r).collect()} == expect
     return r
 
@@ -64,20 +67,49 @@ def test_a_transcript(spark):
     assert "Sessió" not in whole and "debaf" not in whole and "debatagrari" not in whole
 
 
+def test_a_misread_broken_word(spark):
+    rows, expect, add = transcript()
+    last = 100 + 26 * 12
+    add(1, last, 460, "aquest debat agrari del sector rural neces-", kinds=("hyphen",))
+    add(2, 90, 85, "sifa una taxa digital.", kinds=("ocr",))
+    add(2, last, 85, "una taxa digital per primera vegada dicfa-", kinds=("hyphen", "ocr"))
+    add(2, last + 26, 85, "men aquest debat agrari.")
+    r = check(spark, rows, expect)
+    whole = " ".join(x["text"] for x in paragraphs(r).collect())
+    assert "sector rural necessita una taxa" in whole and "vegada dictamen aquest debat" in whole and "sifa" not in whole and "dicfa" not in whole
+
+
+def test_lines_without_a_code(spark):
+    rows, expect, add = transcript(code=None)
+    add(2, 100 + 26 * 12, 85, "aquest debaf agrari del sector rural.", kinds=("ocr",))
+    r = check(spark, rows, expect)
+    assert "aquest debat agrari del sector rural. " in " ".join(x["text"] for x in paragraphs(r).collect()) + " "
+
+
 def test_empty_tables(spark):
-    assert noise(repair(spark.createDataFrame([], COLS), spark.createDataFrame([("a",)], "word string"))).count() == 0
+    assert noise(repair(spark.createDataFrame([], COLS), spark.createDataFrame([("a",)], "word string"), spark.createDataFrame([], "ple_code string, width int"))).count() == 0
 
 
 @pytest.mark.parametrize(("w", "v"), [("aqucst", "aquest"), ("dictarnen", "dictamen"), ("eur0s", "euros"), ("terntori", "territori"), ("aqiiest", "aquest"), ("penclent", "pendent"), ("inst!tut", "institut"), ("conse1l", "consell"), ("capdava11", "capdavall"), ("hidràuIic", "hidràulic")])
 def test_candidates(w, v):
-    assert v in {c for c, second, _, _ in ocr.candidates_of(w) if second is None}
+    assert v in {c for c, second, _, _ in ocr.candidates_of(w, 20) if second is None}
 
 
 def test_candidates_split_and_places():
-    assert ("tècnic", "exclou") in {(a, b) for a, b, _, _ in ocr.candidates_of("tècnicexclou")}
-    assert next((ops, at) for c, s, ops, at in ocr.candidates_of("dcbat") if c == "debat") == ([ocr.CONFUSIONS.index(("e", "c"))], [1])
+    assert ("tècnic", "exclou") in {(a, b) for a, b, _, _ in ocr.candidates_of("tècnicexclou", 20)}
+    assert next((ops, at) for c, s, ops, at in ocr.candidates_of("dcbat", 20) if c == "debat") == ([ocr.CONFUSIONS.index(("e", "c"))], [1])
     long = "c" * 300
-    assert all(s is not None for _, s, _, _ in ocr.candidates_of(long))
+    assert not list(ocr.candidates_of(long, 20))  # no known word is that long
+    assert list(ocr.candidates_of(long, 299)) and ("responsabilitatsocialadministrativa",) in {(c,) for c, s, _, _ in ocr.candidates_of("responsabi1itat5ocia1admini5trativa", 40) if s is None}
+    assert not ocr.listed("1" * 11) and not [s for _, s, _, _ in ocr.candidates_of("1" * 11, 40) if s is None]
+
+
+def test_words_with_any_number_of_wrong_marks(spark):
+    unknown = spark.createDataFrame([("i1!1|1!1!1!|", 1), ("dcbat", 1), ("1" * 60, 1)], "w string, n long")
+    vocab = spark.createDataFrame([("ililililillI".lower(), 50, True), ("debat", 50, True), ("lo", 5, True)], "v string, n long, lex boolean")
+    got = {(r["w"], r["v"]) for r in ocr.candidates(unknown, vocab, 1000.0, 12).collect()}
+    assert got == {("i1!1|1!1!1!|", "ilililililli"), ("dcbat", "debat")}
+    assert ocr.least(3, 10.0) == 3 and ocr.least(3, 1e9) == 30
 
 
 def test_words_and_skeletons():
