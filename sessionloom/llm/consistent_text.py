@@ -50,9 +50,10 @@ def macros() -> dict[str, str]:
     alone = rf"(^|[^\p{{L}}\p{{M}}])(?:{UNITS})([^\p{{L}}\p{{M}}]|$)"
     other, word = r"[\p{Greek}\p{Cyrillic}]", r"[\p{L}\p{M}]+"
     spelled = f"translate(t, {_text(''.join(single))}, {_text(''.join(single.values()))})"
-    for k, v in several.items():
-        if k in "ﬀﬁﬂﬃﬄﬅﬆĳĲŀĿǆǅǄǉǈǇǌǋǊǳǲǱ":
-            spelled = f"replace({spelled}, {_text(k)}, {_text(v)})"
+    # Forms that stand for several characters are looked up one by one, in the texts that have any.
+    runs, keys, values = _text(f"{_class(''.join(several))}|{_class(''.join(several)).replace('[', '[^', 1)}+"), f"[{', '.join(map(_text, several))}]", f"[{', '.join(map(_text, several.values()))}]"
+    one_by_one = f"array_to_string(list_transform(regexp_extract_all({spelled}, {runs}), lambda w: coalesce(list_extract({values}, list_position({keys}, w)), w)), '')"
+    spelled = f"CASE WHEN regexp_matches(t, {_text(_class(''.join(several)))}) THEN {one_by_one} ELSE {spelled} END"
     shown = f"regexp_replace(regexp_replace({spelled}, {_text(_class(invisible()))}, '', 'g'), {_text(_class(BLANKS))}, ' ', 'g')"
     nfc = f"nfc_normalize({shown})"
     mixed = rf"{other}\p{{M}}*\p{{Latin}}|\p{{Latin}}\p{{M}}*{other}"

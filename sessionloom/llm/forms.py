@@ -20,9 +20,7 @@ BLANKS = "\t\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u20
 INVISIBLE_EXTRA = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
 SOFT_HYPHEN = "\xad"
 #: Decomposition tags of forms that are the same letter, digit or mark in another style.
-STYLE_TAGS = {"<wide>", "<narrow>", "<font>", "<circle>", "<square>"}
-#: Ranges searched for styled forms and ligatures (spacing letters, presentation forms, mathematical alphabets).
-RANGES = [(0x0132, 0x017F), (0x01C4, 0x01F3), (0x2100, 0x214F), (0x249C, 0x24EA), (0xFB00, 0xFB06), (0xFF00, 0xFFEE), (0x1D400, 0x1D7FF), (0x1F100, 0x1F18F), (0x1FBF0, 0x1FBF9)]
+STYLE_TAGS = {"<wide>", "<narrow>", "<font>", "<circle>", "<square>", "<small>", "<vertical>"}
 
 
 def _plain(ch: str) -> str | None:
@@ -33,13 +31,14 @@ def _plain(ch: str) -> str | None:
     to = unicodedata.normalize("NFKC", ch)
     if parts[0] in STYLE_TAGS:
         return to
-    letters = unicodedata.category(ch).startswith("L") and all(c.isalpha() or c == "·" for c in to)
+    letters = unicodedata.category(ch).startswith("L") and "LATIN" in unicodedata.name(ch, "") and all(c.isalpha() or c == "·" for c in to)
     return to if parts[0] == "<compat>" and letters and len(to) > 1 else None
 
 
 @functools.cache
 def styled() -> dict[str, str]:
-    return {chr(o): p for a, b in RANGES for o in range(a, b + 1) if (p := _plain(chr(o))) is not None}
+    """Every styled form and ligature of the Unicode database."""
+    return {chr(o): p for o in range(0x80, 0x110000) if (p := _plain(chr(o))) is not None}
 
 
 @functools.cache

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.llm.names import Reading, comparable, compare, read
+from sessionloom.llm.pairs import pairs_within
 from sessionloom.tables import written
 
 MIN_SUFFIX = 4
@@ -35,6 +36,7 @@ COMMON = 48
 WIDE = 8
 READING = "name string, n bigint, core string, tokens array<string>, titled boolean, organisation boolean"
 LINK = ["src", "dst", "kind", "score"]
+LINKS = "src bigint, dst bigint, kind string, score double"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -108,12 +110,17 @@ def parted(k: DataFrame, size: int) -> DataFrame:
     return at.select("id", "key", "part", F.least("part", "to").alias("i"), F.greatest("part", "to").alias("j"))
 
 
-def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON) -> DataFrame:
-    """(id, tokens, titled, organisation) -> (src, dst, kind, score)."""
+def with_frequencies(known: DataFrame) -> DataFrame:
+    """(id, tokens, titled, organisation) -> (id, r): the readings with the document frequency of each token."""
     token_df = known.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
     placed = known.select("id", F.posexplode("tokens").alias("pos", "token")).join(token_df, "token")
     dfs = placed.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "df"))), lambda x: x["df"]).alias("dfs"))
-    full = known.join(dfs, "id").select("id", F.struct("tokens", "dfs", "titled", "organisation").alias("r"))
+    return known.join(dfs, "id").select("id", F.struct("tokens", "dfs", "titled", "organisation").alias("r"))
+
+
+def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON) -> DataFrame:
+    """(id, tokens, titled, organisation) -> (src, dst, kind, score)."""
+    full = with_frequencies(known)
     k = written(blocks(known.select("id", "tokens"), min_suffix, common), "name-blocks")
     small = k.where(F.col("n") <= common).select("id", "key")
     pairs = small.withColumnRenamed("id", "a").join(small.withColumnRenamed("id", "b"), "key").where("a < b").select("a", "b").distinct()
@@ -121,8 +128,7 @@ def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON)
     # A number of partitions, as few rows make many pairs here: by their bytes they would be one task.
     tasks = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     large = parted(k.where(F.col("n") > common), WIDE * common).join(full, "id").repartition(tasks, "key", "i", "j")
-    schema = "src bigint, dst bigint, kind string, score double"
-    return both.mapInPandas(_compare, schema).unionByName(large.groupBy("key", "i", "j").applyInPandas(_compare_parts, schema)).distinct()
+    return both.mapInPandas(_compare, LINKS).unionByName(large.groupBy("key", "i", "j").applyInPandas(_compare_parts, LINKS)).distinct()
 
 
 def _follow(pointers: DataFrame, label: str) -> DataFrame:
@@ -162,5 +168,25 @@ def linked(mentions: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMM
 
 def variant_pairs(entities: DataFrame) -> DataFrame:
     """(name, entity) -> the pairs name_a < name_b of each entity."""
-    a, b = entities.select(F.col("name").alias("name_a"), "entity"), entities.select(F.col("name").alias("name_b"), "entity")
-    return a.join(b, "entity").where("name_a < name_b").select("name_a", "name_b")
+    sizes = entities.groupBy("entity").agg(F.count("*").alias("n")).where("n > 1")
+    return pairs_within(entities.join(sizes, "entity"), "entity", "name").select(F.col("a").alias("name_a"), F.col("b").alias("name_b"))
+
+
+def missed(mentions: DataFrame, every: int = 50, min_suffix: int = MIN_SUFFIX, common: int = COMMON) -> DataFrame:
+    """(kind, n_links, n_missed): the links of the readings whose id is divisible by ``every`` against all readings, compared in
+    blocks without any index, and how many of them the index does not find."""
+    names = written(readings(mentions), "names")
+    known = names.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first("titled").alias("titled"), F.first("organisation").alias("organisation"))
+    full = written(with_frequencies(known), "missed-readings")
+    parts = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = full.where(F.pmod("id", F.lit(every)) == 0).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("asked", F.lit(True))
+    here = asked.unionByName(full.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("asked", F.lit(False)))
+
+    def compare_all(b: pd.DataFrame) -> pd.DataFrame:
+        queries, others = ([_record(x, r) for x, q, r in zip(b["id"], b["asked"], b["r"], strict=True) if q == k] for k in (True, False))
+        return pd.DataFrame([x for s, t in itertools.product(queries, others) if s[0] != t[0] for x in _links(*((s, t) if s[0] < t[0] else (t, s)))], columns=LINK)
+
+    keys = ["src", "dst", "kind"]
+    want = here.groupBy("part").applyInPandas(compare_all, LINKS).select(*keys).distinct()
+    got = edges(known, min_suffix, common).select(*keys, F.lit(1).alias("found")).distinct()
+    return want.join(got, keys, "left").groupBy("kind").agg(F.count("*").alias("n_links"), F.sum(F.col("found").isNull().cast("bigint")).alias("n_missed"))

@@ -26,8 +26,8 @@ CHAIR_SPEAKER = "mesa"
 SCHEMA = "record_id bigint, turn_no int, speaker string, text string"
 _CLOCK = r"(?:(\d{1,3}):)?(\d{1,3}):(\d{2})(?:[.,](\d{1,3}))?"
 _STAMP = re.compile(rf"^\s*[\[(]?\s*(?:{_CLOCK}|(?:(\d+)\s*h\s*)?(\d+)\s*m\s*(\d+)\s*s)(?:\s*[\])])?(?:\s*-->\s*{_CLOCK.replace('(', '(?:').replace('(?:?:', '(?:')})?(?:\s+[-–—](?=\s|$))?\s*")
-_INLINE = re.compile(r"\s+(?=(?:>>|[—–])\s*[^:\n]{2,90}:)")
-_LABEL = re.compile(r"^\s*(>>|[—–-]\s)?\s*([^:\n]{2,90}?)\s*:(?=\s|$)\s*")
+_INLINE = re.compile(r"\s+(?=(?:>>|[—–])\s*[^:\n]{2,}:)")
+_LABEL = re.compile(r"^\s*(>>|[—–-]\s)?\s*([^:\n]{2,}?)\s*:(?=\s|$)\s*")
 # Hesitations (after folding); letters may be held.
 _FILLER_WORD = r"(?:e+h+m*|e+m{2,}|h+m{1,}|m{2,}h*|u+h+m*|u+m{1,}|a+h+m*|e{2,}h?|a{2,}h?)"
 _FILLER = re.compile(rf"(?:,\s*|(?<![\w’'-])){_FILLER_WORD}(?![\w’'-])(?:\s*(?:…|\.\.\.|[,.]))?", re.I)
@@ -49,11 +49,9 @@ def stamp(text: str) -> tuple[float | None, str]:
 
 def speech(text: str) -> str:
     """The text without annotations and standalone fillers; empty if nothing is said."""
-    t = text
-    for _ in range(3):
+    t, n = text, 1
+    while n:  # notes within notes, from the inside
         t, n = _NOTE.subn(" ", t)
-        if not n:
-            break
     t = re.sub(r"<[^<>]{1,3}>", "", t)
     t = _FILLER.sub(" ", t)
     t = re.sub(r"\s+", " ", t).strip()
