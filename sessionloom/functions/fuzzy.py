@@ -51,20 +51,37 @@ def name_tokens(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")))
 
 
+def with_tokens(df: DataFrame, name: str, out: str) -> DataFrame:
+    """The rows with ``out``, the words of the column ``name``, and what ``similar_pairs`` needs of them: the words longer than two
+    characters, the lengths of all and of the others, and how often each letter stands in them, as bits."""
+    joined = lambda c: F.length(F.array_join(c, " "))
+    df = df.withColumn(out, name_tokens(F.col(name))).withColumn(f"{out}_s", F.array_join(out, ""))
+    times = lambda c: F.length(f"{out}_s") - F.length(F.replace(f"{out}_s", F.lit(c)))
+    bit = lambda k, c, n: F.when(times(c) >= n, F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint")
+    letters = list(enumerate("abcdefghijklmnopqrstuvwxyz"))
+    bits = [functools.reduce(Column.__add__, [bit(k, c, n) + bit(k + 26, c, n + 1) for k, c in letters]) for n in (1, 3)]
+    df = df.withColumns({f"{out}_long": F.filter(out, lambda w: F.length(w) > 2), f"{out}_len": joined(F.col(out)), f"{out}_short": joined(F.filter(out, lambda w: F.length(w) <= 2))})
+    return df.withColumns({f"{out}_once": bits[0], f"{out}_often": bits[1]}).drop(f"{out}_s")
+
+
 @F.pandas_udf(IntegerType())
 def _blocks_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_ratio(x, y, -1) for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
 def similar_pairs(pairs: DataFrame, x: str, y: str, over: int) -> DataFrame:
-    """The pairs whose token-set similarity is above ``over``, with ``score``; x and y are columns of ``name_tokens``.
+    """The pairs whose token-set similarity is above ``over``, with ``score``; x and y are made by ``with_tokens``.
 
-    The shared words against each side have a closed form. The two sides are compared in Python only if their edit distance allows a ratio above
+    First go pairs that share no longer word, whose short words cannot be enough, and whose letters differ in more
+    places than a ratio above ``over`` leaves. The shared words against each side have a closed form. The two sides are compared in Python only if their edit distance allows a ratio above
     ``over``: matching blocks leave out at least as many characters as it has edits.
     """
     joined = lambda *parts: F.array_join(F.concat(*parts), " ")
     shared = F.array_intersect(x, y)
-    both = pairs.withColumn("_s", F.length(F.array_join(shared, " "))).withColumn("_l", joined(shared, F.array_except(x, y))).withColumn("_r", joined(shared, F.array_except(y, x)))
+    differ = sum((F.bit_count(F.col(f"{x}_{k}").bitwiseXOR(F.col(f"{y}_{k}"))) for k in ("once", "often")), F.lit(0))
+    shorter = F.least(f"{x}_len", f"{y}_len")
+    likely = (differ <= (F.col(f"{x}_len") + F.col(f"{y}_len")) * (1 - (over + 0.5) / 100)) | (F.least(f"{x}_short", f"{y}_short") * (200 - over) >= shorter * over) | F.arrays_overlap(f"{x}_long", f"{y}_long")
+    both = pairs.where(likely).withColumn("_s", F.length(F.array_join(shared, " "))).withColumn("_l", joined(shared, F.array_except(x, y))).withColumn("_r", joined(shared, F.array_except(y, x)))
     part = lambda side: F.bround(F.lit(100.0) * (F.lit(2.0) * F.col("_s") / (F.col("_s") + F.length(side))))
     n = F.length("_l") + F.length("_r")
     both = both.withColumn("_part", F.when(F.col("_s") > 0, F.greatest(part("_l"), part("_r"))).otherwise(0.0).cast("int"))

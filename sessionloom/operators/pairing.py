@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.functions.codes import zero_padded
-from sessionloom.functions.fuzzy import name_key, name_tokens, similar_pairs, similarity_over
+from sessionloom.functions.fuzzy import name_key, similar_pairs, similarity_over, with_tokens
 from sessionloom.functions.text import strip, title_and_name, without_tags
 from sessionloom.operators.runs import block_contents
 from sessionloom.tables import written
@@ -55,14 +55,14 @@ def match_names(text: DataFrame, meta: DataFrame, alias: DataFrame, key: str = "
     t1, m1 = (x.join(chairs, [key, c], "left_anti") for x, c in ((t, "text_name"), (m, "meta_name")))
     # So many tasks, as a few bytes of names make far more pairs than the planner expects.
     tasks = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = (x.withColumn(f"{c}_tokens", name_tokens(F.col(c))).repartition(tasks, key) for x, c in ((t1, "text_name"), (m1, "meta_name")))
+    left, right = (with_tokens(x.repartition(tasks, key), c, f"{c}_tokens") for x, c in ((t1, "text_name"), (m1, "meta_name")))
     pairs = left.join(right, key)
     scored = written(similar_pairs(pairs, "text_name_tokens", "meta_name_tokens", min(FIRST, REST)).select(key, "text_name", "meta_name", "score"), "name-scores")
     first = _best(scored.where(F.col("score") > FIRST), key)
     done = written(chairs.unionByName(first), "matches-first")  # three later steps read it
     t2 = t.join(done, [key, "text_name"], "left_anti").withColumn("k", name_key(F.col("text_name")))
     titled = t2.where(~F.col("k").contains("mesa") & ~F.col("k").contains("president")).join(alias, key)
-    likely = similar_pairs(titled.withColumn("x", name_tokens(F.col("k"))).withColumn("y", name_tokens(F.col("alias"))), "x", "y", ALIAS)
+    likely = similar_pairs(with_tokens(with_tokens(titled, "k", "x"), "alias", "y"), "x", "y", ALIAS)
     likely = likely.join(done.select(key, F.col("text_name").alias("name"), "meta_name"), [key, "name"])
     by_alias = likely.groupBy(key, "text_name").agg(F.min_by("meta_name", F.struct(-F.col("score"), "name", "meta_name")).alias("meta_name"))
     known = written(done.unionByName(by_alias), "matches-known")

@@ -4,10 +4,9 @@ import random
 import types
 
 import pytest
-from pyspark.sql import functions as F
 
 from sessionloom import tables
-from sessionloom.functions.fuzzy import name_tokens, similar_pairs, token_set_similarity
+from sessionloom.functions.fuzzy import similar_pairs, token_set_similarity, with_tokens
 from sessionloom.operators import pairing, quality, sessions
 from sessionloom.sinks import tables as sinks
 
@@ -16,8 +15,9 @@ from sessionloom.sinks import tables as sinks
 def test_scores_of_the_join_are_those_of_all_pairs(spark, over):
     rnd = random.Random(over)
     parts = ["pere", "pi", "i", "mas", "anna", "roc", "roca", "vila", "maria", "teresa", "mària", "joan-pau", "d'ors"]
-    names = [" ".join(rnd.choice(parts) for _ in range(rnd.randint(1, 4))) for _ in range(40)] + ["", "...", "Pere  PI", "pero pi i mos"]
-    df = spark.createDataFrame([(a, b) for a in names for b in names], "a string, b string").withColumn("x", name_tokens(F.col("a"))).withColumn("y", name_tokens(F.col("b")))
+    names = [" ".join(rnd.choice(parts) for _ in range(rnd.randint(1, 4))) for _ in range(60)] + ["", "...", "Pere  PI", "pero pi i mos"]
+    df = spark.createDataFrame([(a, b) for a in names for b in names], "a string, b string")
+    df = with_tokens(with_tokens(df, "a", "x"), "b", "y")
     got = {(r["a"], r["b"]): r["score"] for r in similar_pairs(df, "x", "y", over).collect()}
     assert got == {(a, b): s for a in names for b in names if (s := token_set_similarity(a, b, over)) > over}
 
