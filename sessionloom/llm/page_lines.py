@@ -83,7 +83,7 @@ def _prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             t = re.sub(r"\xad(?=\w)", "", t) if "\xad" in t else t
             marked = _MARKS.search(t)
             spans = [m for m in WORD.finditer(t) if _is_word(m[0]) and not (marked and _MARKS.search(m[0]))]
-            tail, head = _TAIL.search(t), _HEAD.match(t)
+            tail, head = _TAIL.search(t, t.rfind(" ") + 1), _HEAD.match(t)  # a tail holds no blank
             rows.append((
                 r.line_id, r.ple_code, r.page, r.line_no, r.x, r.y, r.w, r.h, r.font, t, bold, bool(_NOTE.match(t)), bool(t and _NUMBER.match(t)),
                 skeleton(t), [word_form(m[0]) for m in spans], [m.start() for m in spans], [m.end() for m in spans], [c.replace("'", "’").lower() for c in _COMPOUND.findall(t)] if "-" in t else [],
