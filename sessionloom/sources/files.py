@@ -114,8 +114,30 @@ def _yaml(content: str):
     return yaml.load(content, Loader=Loader)
 
 
+def _string(x: object) -> str | None:
+    if not (x is None or isinstance(x, str)):
+        raise TypeError(f"text expected, found {type(x).__name__}")
+    return x
+
+
+def _list(x: object, item) -> list | None:
+    if not (x is None or isinstance(x, list)):
+        raise TypeError(f"list expected, found {type(x).__name__}")
+    return None if x is None else [item(v) for v in x]
+
+
 def session_records(files: DataFrame) -> DataFrame:
-    """(path, content) of YAML records -> path, ple_code, text, urls, error (what could not be read)."""
+    """(path, content) of YAML records -> path, ple_code, text, urls, error (what could not be read).
+
+    What is null in the file or missing there is null; a list or map where a text belongs is an error of its record."""
+
+    def turn(v) -> dict:
+        speaker, text = v
+        return {"speaker": _string(speaker), "text": _string(text)}
+
+    def media(v) -> dict:
+        names, url = v
+        return {"names": _list(names, _string), "url": _string(url)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -123,7 +145,7 @@ def session_records(files: DataFrame) -> DataFrame:
             for path, content in zip(b["path"], b["content"], strict=True):
                 try:
                     d = _yaml(content)
-                    rows.append((path, d.get("ple_code"), [{"speaker": s, "text": t} for s, t in d.get("text") or []], [{"names": list(n), "url": u} for n, u in d.get("urls") or []], None))
+                    rows.append((path, _string(d.get("ple_code")), _list(d.get("text"), turn), _list(d.get("urls"), media), None))
                 except Exception as e:  # noqa: BLE001  a broken file is reported, not fatal
                     rows.append((path, None, None, None, f"{type(e).__name__}: {e}"[:300]))
             yield pd.DataFrame(rows, columns=["path", "ple_code", "text", "urls", "error"])

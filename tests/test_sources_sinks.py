@@ -63,6 +63,26 @@ def test_yaml_records_and_trees(spark):
     assert [tuple(r)[1:] for r in tree.collect()] == [(0, "A", "u"), (1, "B", "v"), (2, "A", "w")]
 
 
+def test_yaml_records_with_nulls_and_values_of_other_kinds(spark):
+    rows = [("a", '{"ple_code":null,"text":[["A",null]],"urls":[[["A",null],null],[null,"u"]]}'), ("b", '{"ple_code":"c","text":null}'), ("c", "urls: [[[A], [u]]]"), ("d", "urls: [[A, u]]"), ("e", "ple_code: [c]")]
+    got = files.session_records(spark.createDataFrame(rows, "path string, content string")).orderBy("path").collect()
+    assert [tuple(u) for u in got[0]["urls"]] == [(["A", None], None), (None, "u")] and tuple(got[0]["text"][0]) == ("A", None) and got[0]["error"] is None
+    assert tuple(got[1])[1:] == ("c", None, None, None)
+    assert all(r["error"].startswith("TypeError") and r["urls"] is None for r in got[2:])
+
+
+def test_yaml_records_query_keeps_every_value(spark, tmp_path):
+    """A URL and lists that are null, quotes and brackets in a URL, characters that YAML would fold or reject, a record loaded twice."""
+    from sessionloom.plans.record_queries import yaml_records
+
+    odd = "a\x85b\u2028c\x7f\ufeff \"],\"text\" \\ \t\n😀 null ~"
+    rows = [(1, "c", [("A", odd), ("B", None), None], [(["A"], None), (None, 'u"]]'), None]), (2, None, None, None), (3, '"],"text"', [], []), (4, None, [("A", "x")], None), (4, "c", [("A", "x")], None)]
+    df = spark.createDataFrame(rows, "record_id bigint, ple_code string, text array<struct<speaker:string,text:string>>, urls array<struct<names:array<string>,url:string>>")
+    df.write.parquet(str(tmp_path / "session_texts.parquet"))
+    got = {tuple(r) for r in yaml_records(spark, str(tmp_path)).collect()}
+    assert got == {(1, "c", 3, odd + "\n\n", 3, None), (2, None, None, None, 0, None), (3, '"],"text"', 0, "", 0, None), (4, "c", 1, "x", 0, None)}
+
+
 def test_file_scans(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "2018_03_14_7_speaker.yaml").write_text("- A: b\n")
