@@ -126,8 +126,8 @@ def speaking_rates(texts: DataFrame, media: DataFrame) -> DataFrame:
 
 
 def manifest_paths(records: DataFrame) -> DataFrame:
-    """The records (session, filepath, media_url, ...) with the paths of their clean text and of their audio."""
-    name = F.concat(F.concat_ws("-", "session", stem(F.col("filepath")), stem(F.col("media_url"))), F.lit(".txt"))
+    """The records (session, filepath, media_url, ...) with the paths of their clean text and of their audio; a path of which a part is null is null."""
+    name = F.concat("session", F.lit("-"), stem(F.col("filepath")), F.lit("-"), stem(F.col("media_url")), F.lit(".txt"))
     return records.withColumn("text_path", F.concat(F.lit(f"{TEXTS}/"), "session", F.lit("/"), name)).withColumn("audio_path", shard_path(F.lit(AUDIO), F.col("media_url")))
 
 

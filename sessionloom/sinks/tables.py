@@ -49,8 +49,9 @@ def write_partitioned(records: DataFrame, path: str, key: str = "ple_code") -> N
 
 
 def manifest(rows: DataFrame, path: str) -> None:
-    """text_path,audio_path lines without header or quotes."""
-    rows.select("text_path", "audio_path").write.mode("overwrite").option("quote", "\u0000").csv(path)
+    """text_path,audio_path lines without header or quotes, the paths as they are; rows without one of the paths have no line."""
+    line = F.concat("text_path", F.lit(","), "audio_path")
+    rows.select(line.alias("value")).where("value is not null").write.mode("overwrite").text(path)
 
 
 def sentences_file(rows: DataFrame, path: str) -> None:

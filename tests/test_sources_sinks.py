@@ -120,6 +120,18 @@ def test_text_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3 and (tmp_path / "p" / "ple_code=c2").exists()
 
 
+def test_manifest_lines_of_records_without_audio_and_of_odd_paths(spark, tmp_path):
+    from sessionloom.plans.record_queries import manifest_file
+
+    df = spark.createDataFrame([(" a,b", "c "), ("a", None), (None, "b")], "text_path string, audio_path string")
+    sinks.manifest(df, str(tmp_path / "m"))
+    assert "".join(p.read_text() for p in (tmp_path / "m").glob("part-*")) == " a,b,c \n"
+    rows = [(1, "s", "t/1.yaml", ["h/ab.mp3"]), (2, "s", "t/2.yaml", [None, "h/x.mp3"]), (3, "s", "t/3.yaml", [None]), (4, None, "t/4.yaml", ["h/cd.mp3"]), (5, "s", None, ["h/ef.mp3"]), (6, "s", "t/6.yaml", None)]
+    records = spark.createDataFrame([(i, c, f, [], u and [([], x) for x in u]) for i, c, f, u in rows], "record_id bigint, ple_code string, filepath string, text array<struct<speaker:string,text:string>>, urls array<struct<names:array<string>,url:string>>")
+    records.write.parquet(str(tmp_path / "session_texts.parquet"))
+    assert sorted((r["value"] for r in manifest_file(spark, str(tmp_path)).collect()), key=str) == [None, "for_axlotl/s/s-1-ab.txt,audio/a/b/ab.mp3"]
+
+
 def test_one_file_a_record(spark, tmp_path):
     df = spark.createDataFrame([("s1", "text/01.yaml", "a/b/x.mp3", "hola"), ("s1", "text/02.yaml", "a/b/y.mp3", None)], "session string, record string, audio string, text string")
     for _ in range(2):
