@@ -2,8 +2,9 @@
 
 Distinct names become readings (see names.py). Candidates come from suffix blocking: readings meet that share the
 last ``min_suffix`` characters of a token, so those that share a longer suffix meet too. No block is dropped: one of more
-than ``common`` readings is cut into parts of about ``WIDE * common``, and each part is compared with each. Readings of
-three or more tokens that differ in one also meet by all the other tokens, in blocks as whole. Candidates are compared by the longest-common-subsequence ratio,
+than ``common`` readings is cut into parts of about that many, and each part is compared with each. Readings of
+three or more tokens that differ in one also meet by all the other tokens, in blocks as whole. The pairs of a block are tested
+by bit operations on arrays (name_filter.py); those that may be linked are compared by the longest-common-subsequence ratio,
 token by token, with the tokens' document frequencies: two established spellings are two words.
 
 Each reading points to its best match among the more frequent ones; following the pointers gives entities, so
@@ -11,8 +12,8 @@ that relatives do not chain through an ambiguous spelling. Readings that leave s
 missing surname, a title for a given name) join an entity only if exactly one fits best.
 
 Scale and skew: mentions are counted before anything else, so that a name that holds a third of all rows is
-one row; a task compares two parts of a block at most, and the pairs of large blocks are never rows; their number does
-grow with the square of the block, as no pair is left out; nothing is collected or broadcast; tables between the steps are written to the shared folder.
+one row; a task compares two parts of a block at most, and pairs are never rows; their number does
+grow with the square of the block, as no pair is left out, but few of them are compared in full; nothing is collected or broadcast; tables between the steps are written to the shared folder.
 
 Defined results: nulls, blanks, offices and unnamed groups have no reading and no entity; repeated rows
 count once for links; ties go to the higher score, then the more frequent reading, then the greater key.
@@ -27,13 +28,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionloom.llm.name_filter import candidates
 from sessionloom.llm.names import Reading, comparable, compare, read
 from sessionloom.llm.pairs import pairs_within
 from sessionloom.tables import written
 
 MIN_SUFFIX = 4
-COMMON = 48
-WIDE = 8
+COMMON = 8192
+FEW, BATCH = 12, 50_000
+BLOCK = ["key", "i", "j", "part", "id", "tokens", "dfs", "titled", "organisation"]
 READING = "name string, n bigint, core string, tokens array<string>, titled boolean, organisation boolean"
 LINK = ["src", "dst", "kind", "score"]
 LINKS = "src bigint, dst bigint, kind string, score double"
@@ -88,18 +91,35 @@ def _links(a: tuple, b: tuple) -> list[tuple[int, int, str, float]]:
     return [(i, j, "part", there.score)] if there else [(j, i, "part", back.score)] if back else []
 
 
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = [x for i, j, s, t in zip(b["a"], b["b"], b["ra"], b["rb"], strict=True) for x in _links(_record(i, s), _record(j, t))]
-        yield pd.DataFrame(out, columns=LINK)
+def _block(rows: list[tuple], i: int, j: int) -> Iterator[tuple[int, int, str, float]]:
+    """The links of a part with itself or with another part of its block, of rows (part, id, tokens, dfs, titled, organisation)."""
+
+    def records(k: int) -> list[tuple]:
+        split = [(x, tuple(t.split(" ")), d, titled, org) for p, x, t, d, titled, org in rows if p == k]
+        return [(x, Reading(t, bool(titled), bool(org)), dict(zip(t, map(int, d.split(" ")), strict=True))) for x, t, d, titled, org in split]
+
+    mine = records(i)
+    others = mine if i == j else records(j)
+    if len(mine) + len(others) <= FEW:
+        pairs = itertools.combinations(mine, 2) if i == j else itertools.product(mine, others)
+    else:
+        found = candidates([r for _, r, _ in mine], None if i == j else [r for _, r, _ in others])
+        pairs = ((mine[x], others[y]) for x, y in found)
+    for s, t in pairs:
+        yield from _links(*((s, t) if s[0] < t[0] else (t, s)))
 
 
-def _compare_parts(b: pd.DataFrame) -> pd.DataFrame:
-    """All pairs of a part with itself or with another part of its block."""
-    i, j = b["i"].iat[0], b["j"].iat[0]
-    mine, others = ([_record(x, r) for x, p, r in zip(b["id"], b["part"], b["r"], strict=True) if p == k] for k in (i, j))
-    pairs = itertools.combinations(mine, 2) if i == j else itertools.product(mine, others)
-    return pd.DataFrame([x for s, t in pairs for x in _links(*((s, t) if s[0] < t[0] else (t, s)))], columns=LINK)
+def _compare_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows in the order of (key, i, j): all pairs of each block, or of two parts of it, that may be linked, compared."""
+    every = (r for b in batches for r in zip(*(b[c] for c in BLOCK), strict=True))
+    out = []
+    for (_, i, j), rows in itertools.groupby(every, key=lambda r: r[:3]):
+        for link in _block([r[3:] for r in rows], i, j):
+            out.append(link)
+            if len(out) >= BATCH:
+                yield pd.DataFrame(out, columns=LINK)
+                out = []
+    yield pd.DataFrame(out, columns=LINK)
 
 
 def parted(k: DataFrame, size: int) -> DataFrame:
@@ -121,14 +141,14 @@ def with_frequencies(known: DataFrame) -> DataFrame:
 def edges(known: DataFrame, min_suffix: int = MIN_SUFFIX, common: int = COMMON) -> DataFrame:
     """(id, tokens, titled, organisation) -> (src, dst, kind, score)."""
     full = with_frequencies(known)
+    flat = full.select("id", F.array_join("r.tokens", " ").alias("tokens"), F.array_join(F.col("r.dfs").cast("array<string>"), " ").alias("dfs"), "r.titled", "r.organisation")
     k = written(blocks(known.select("id", "tokens"), min_suffix, common), "name-blocks")
-    small = k.where(F.col("n") <= common).select("id", "key")
-    pairs = small.withColumnRenamed("id", "a").join(small.withColumnRenamed("id", "b"), "key").where("a < b").select("a", "b").distinct()
-    both = pairs.join(full.select(F.col("id").alias("a"), F.col("r").alias("ra")), "a").join(full.select(F.col("id").alias("b"), F.col("r").alias("rb")), "b")
+    whole = k.where(F.col("n") <= common).select("id", "key", F.lit(0).alias("part"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+    at = whole.unionByName(parted(k.where(F.col("n") > common), common))
     # A number of partitions, as few rows make many pairs here: by their bytes they would be one task.
     tasks = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    large = parted(k.where(F.col("n") > common), WIDE * common).join(full, "id").repartition(tasks, "key", "i", "j")
-    return both.mapInPandas(_compare, LINKS).unionByName(large.groupBy("key", "i", "j").applyInPandas(_compare_parts, LINKS)).distinct()
+    rows = at.join(flat, "id").select(*BLOCK).repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInPandas(_compare_blocks, LINKS).distinct()
 
 
 def _follow(pointers: DataFrame, label: str) -> DataFrame:

@@ -240,12 +240,20 @@ def compare(a: Reading, b: Reading, rare=lambda s, t: True, least: float = LEAST
     return None
 
 
-@functools.lru_cache(maxsize=100_000)
+_FULL = {short: fold(name).split(" ") for short, name in HYPOCORISTICS.items()}
+
+
+def _may_shorten(short: str, long: str) -> bool:
+    """False only where neither ``abbreviates`` nor ``short_for`` holds; cheaper than both."""
+    return short[0] == long[0] or short in _FULL or long.endswith((short, short[:-1])) or f"{long}et".endswith(short)
+
+
+@functools.lru_cache(maxsize=500_000)
 def _related(p: str, q: str) -> bool:
     """Whether two tokens of given names may match in any way that ``compare`` allows."""
     if p == q or ratio(p, q) >= LEAST:
         return True
-    return any(abbreviates(a, b) or short_for(a, b) or b in fold(HYPOCORISTICS.get(a, "")).split(" ") for a, b in ((p, q), (q, p)))
+    return any(_may_shorten(a, b) and (abbreviates(a, b) or short_for(a, b)) or b in _FULL.get(a, ()) for a, b in ((p, q), (q, p)))
 
 
 def comparable(a: Reading, b: Reading) -> bool:

@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sessionloom.llm import name_linking as L
-from sessionloom.llm.names import comparable, compare, is_chair, lcs, read
+from sessionloom.llm.name_filter import candidates
+from sessionloom.llm.names import Reading, comparable, compare, is_chair, lcs, read
 
 SAME = [
     ("Nasi Saltreús i Ribtreoll", "Ignasi Saltreús i Ribtreoll"), ("FC Dorlagaia", "Federació de Comerç de Dorlagaia"), ("Cbra. de Regants d’Ivozagaia Vell", "Cambra de Regants d’Ivozagaia Vell"),
@@ -123,6 +124,50 @@ def test_a_hot_token_drops_no_pair(spark):
     assert {0, 1} in linked and {2, 3} in linked
 
 
+def people(rnd, n, *also):
+    """Readings with slips, initials, titles, second given names, missing surnames and organisations of few syllables, so that many are linked."""
+    word = lambda k: "".join(rnd.choice(("bor", "gar", "sal", "tre", "mun", "vi", "lo", "que", "nas")) for _ in range(k))
+    out = [Reading(tuple(t), titled, org) for t, titled, org in also]
+    while len(out) < n:
+        given = rnd.choice(("ignasi", "nasi", "pere", "josep", "pep", "anna", "annieta", "lola", "dolors", "x", "gabriel", "biel", "maria teresa", "maite", "joan pau")).split(" ")
+        surnames = [word(2) + rnd.choice(("anya", "ench", "")) for _ in range(rnd.randint(1, 2))]
+        titled, org = rnd.random() < 0.15, rnd.random() < 0.15
+        tokens = surnames if titled else [*given, *surnames]
+        if org:
+            tokens = rnd.choice((["fc"], ["f.", "comerc"], ["federacio", "comerc"], ["fco"])) + surnames
+        k = rnd.randrange(len(tokens))
+        t, at = tokens[k], rnd.randrange(len(tokens[k]))
+        tokens[k] = rnd.choice((t, t, t[:at] + t[at + 1 :] or t, t[:at] + rnd.choice("aeb·ñ7") + t[at:], t[0]))
+        out.append(Reading(tuple(tokens), titled, org))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_filter_keeps_every_pair_that_may_be_linked(seed):
+    rnd = random.Random(seed)
+    rs = people(rnd, 260, *[(list(r.tokens), r.titled, r.organisation) for pair in SAME + PART for n in pair if (r := read(n))])
+    want = {(i, j) for i in range(len(rs)) for j in range(i + 1, len(rs)) if comparable(rs[i], rs[j]) and (compare(rs[i], rs[j]) or compare(rs[j], rs[i]))}
+    got = [tuple(sorted(p)) for p in candidates(rs)]
+    assert len(want) > 30 and want <= set(got) and len(got) == len(set(got))
+    a, b = rs[:150], rs[150:]
+    assert {(i, j) for i, j in want if i < 150 <= j} <= {(i, j + 150) for i, j in candidates(a, b)}
+
+
+def test_a_large_block_compares_few_pairs_in_full():
+    """Readings that share a suffix and nothing else: their pairs are not all compared one by one."""
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("bcdfglmnprstv") + rnd.choice("aeiou") for _ in range(3))
+    rs = [Reading((word(), word(), f"{word()}anya")) for _ in range(3000)]
+    assert sum(1 for _ in candidates(rs)) < len(rs) ** 2 / 2 / 500
+
+
+def test_parts_of_blocks_give_the_links_of_whole_blocks(spark):
+    rs = list(dict.fromkeys(people(random.Random(9), 120)))
+    df = spark.createDataFrame([(k, list(r.tokens), r.titled, r.organisation) for k, r in enumerate(rs)], "id long, tokens array<string>, titled boolean, organisation boolean")
+    whole, parts = ({tuple(r) for r in L.edges(df, 4, n).collect()} for n in (10**6, 9))
+    assert whole == parts and len(whole) > 20
+
+
 @pytest.mark.parametrize("names", [SAME, PART])
 def test_linked_readings_are_comparable(names):
     assert all(comparable(read(a), read(b)) and comparable(read(b), read(a)) for a, b in names)
