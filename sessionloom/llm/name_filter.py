@@ -7,7 +7,7 @@ lost or added; then their bags of letters differ in as many, and that is one XOR
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 
@@ -29,6 +29,11 @@ def bag(token: str) -> int:
     return bits
 
 
+def rare(low, high):
+    """Whether a token of document frequency ``low`` may be a misspelling of one of frequency ``high``; two established spellings are two words."""
+    return (low <= 1) | (low <= 3) & (2 * low <= high) | (10 * low <= high)
+
+
 def kind(r: Reading) -> int:
     n = len(r.tokens)
     if r.organisation:
@@ -41,29 +46,37 @@ def kind(r: Reading) -> int:
 class Side:
     """Readings of one kind, by the tokens at the places that ``compare`` pairs: the first, the last but one, the last."""
 
-    def __init__(self, at: Sequence[int], readings: Sequence[Reading]) -> None:
+    def __init__(self, at: Sequence[int], readings: Sequence[Reading], counts: Mapping[str, int]) -> None:
         self.at = np.asarray(at)
         tokens = [readings[k].tokens for k in at]
         self.n = np.array([len(t) for t in tokens])
-        self.known = np.array([t[0] in _KNOWN for t in tokens], bool)
-        self.places = {k: _place([t[k] if len(t) >= max(-k, 1) else "" for t in tokens]) for k in (0, -2, -1)}
+        self.given = _given([t[0] for t in tokens])
+        self.places = {k: _place([t[k] if len(t) >= max(-k, 1) else "" for t in tokens], counts) for k in (0, -2, -1)}
 
 
-def _place(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bag, first letter (0: no token), whether it may be short for another token, and length."""
+def _place(tokens: list[str], counts: Mapping[str, int]) -> tuple[np.ndarray, ...]:
+    """Bag, first letter (0: no token), whether it may be short for another token, length, and document frequency."""
     short = [len(t) == 1 or t.endswith(".") for t in tokens]
-    return np.array([bag(t) for t in tokens], np.uint64), np.array([ord(t[0]) if t else 0 for t in tokens], np.uint32), np.array(short, bool), np.array([len(t) for t in tokens])
+    bags, letters = np.array([bag(t) for t in tokens], np.uint64), np.array([ord(t[0]) if t else 0 for t in tokens], np.uint32)
+    return bags, letters, np.array(short, bool), np.array([len(t) for t in tokens]), np.array([counts.get(t, 1) for t in tokens])
+
+
+def _given(tokens: list[str]) -> tuple[np.ndarray, ...]:
+    """Of given names: a known familiar form, the first three letters, the last and the last but one, and the ending 'et'."""
+    code = lambda s: sum(ord(c) << 21 * k for k, c in enumerate(s))
+    letter = lambda k: np.array([ord(t[-k]) if len(t) >= k else 0 for t in tokens], np.uint32)
+    return np.array([t in _KNOWN for t in tokens], bool), np.array([code(t[:3]) if len(t) > 2 else 0 for t in tokens], np.uint64), letter(1), letter(2), np.array([t.endswith("et") for t in tokens], bool)
 
 
 def _near(a: tuple, b: tuple, least: float | None = None) -> np.ndarray:
     """Whether two tokens may be one word, or one an initial or abbreviation of the other; no token is near none.
 
-    With ``least`` also by the ratio that ``names.typo`` asks for."""
-    (p, f, s, m), (q, g, t, n) = a, b
+    With ``least`` also by the ratio that ``names.typo`` asks for, and by the frequencies: two frequent tokens are two words."""
+    (p, f, s, m, x), (q, g, t, n, y) = a, b
     off = np.bitwise_count(p ^ q)
     near = off <= OFF
     if least is not None:
-        near &= (off <= 1) | (off <= (1 - np.where(np.maximum(m, n) <= 5, least, least + 0.1)) * (m + n) + 1e-9)
+        near &= (off <= 1) | rare(np.minimum(x, y), np.maximum(x, y)) & (off <= (1 - np.where(np.maximum(m, n) <= 5, least, least + 0.1)) * (m + n) + 1e-9)
     if s.any() or t.any():
         near |= (f == g) & (s | t)
     if not (f.all() and g.all()):
@@ -71,11 +84,16 @@ def _near(a: tuple, b: tuple, least: float | None = None) -> np.ndarray:
     return near
 
 
-def _related(a: tuple, b: tuple, known: np.ndarray) -> np.ndarray:
-    """Whether two given names may be related (``names._related``): alike, of one first letter, one within the other but for an ending, or known."""
-    (p, f, _, m), (q, g, _, n) = a, b
+def _related(a: tuple, b: tuple, g: list[np.ndarray], h: list[np.ndarray]) -> np.ndarray:
+    """Whether two given names may be related (``names._related``): known, alike, an initial or abbreviation, of the same
+    three first letters, or one the end of the other, perhaps but for its own ending."""
+    (p, f, s, m, _), (q, e, t, n, _) = a, b
     alike = np.bitwise_count(p ^ q) <= (1 - LEAST) * (m + n) + 1e-9
-    return known | (f == g) | alike | (np.bitwise_count(p & ~q) <= 2) | (np.bitwise_count(q & ~p) <= 2)
+
+    def ends(p: np.ndarray, g: list[np.ndarray], q: np.ndarray, h: list[np.ndarray]) -> np.ndarray:
+        return (np.bitwise_count(p & ~q) <= 2) & (g[4] | (g[2] == h[2]) | (g[3] == h[2]))
+
+    return g[0] | h[0] | alike | (f == e) & (s | t) | (g[1] == h[1]) & (g[1] != 0) | ends(p, g, q, h) | ends(q, h, p, g)
 
 
 def _tests(x: int, y: int) -> list[tuple[tuple[int, int], ...]] | None:
@@ -133,20 +151,22 @@ def _pairs(a: Side, x: int, b: Side, y: int) -> Iterator[tuple[np.ndarray, np.nd
                 at = keep(test, i, j)
                 i, j = i[at], j[at]
             if x in (TWO, THREE) and y in (TWO, THREE):
-                at = _related(place(a, 0, i), place(b, 0, j), a.known[i] | b.known[j])
+                at = _related(place(a, 0, i), place(b, 0, j), [v[i] for v in a.given], [v[j] for v in b.given])
                 i, j = i[at], j[at]
         yield a.at[i], b.at[j]
 
 
-def _sides(readings: Sequence[Reading]) -> list[tuple[int, Side]]:
+def _sides(readings: Sequence[Reading], counts: Mapping[str, int]) -> list[tuple[int, Side]]:
     kinds = np.array([kind(r) for r in readings])
-    return [(k, Side(at, readings)) for k in KINDS if len(at := np.flatnonzero(kinds == k))]
+    return [(k, Side(at, readings, counts)) for k in KINDS if len(at := np.flatnonzero(kinds == k))]
+
 
+def candidates(mine: Sequence[Reading], others: Sequence[Reading] | None = None, counts: Mapping[str, int] = {}) -> Iterator[tuple[int, int]]:  # noqa: B006
+    """The places (i, j) of the pairs of ``mine`` and ``others`` that may be linked; without ``others`` each pair of ``mine`` once.
 
-def candidates(mine: Sequence[Reading], others: Sequence[Reading] | None = None) -> Iterator[tuple[int, int]]:
-    """The places (i, j) of the pairs of ``mine`` and ``others`` that may be linked; without ``others`` each pair of ``mine`` once."""
-    left = _sides(mine)
-    right = left if others is None else _sides(others)
+    ``counts``: the document frequencies of the tokens; a token without one counts as rare."""
+    left = _sides(mine, counts)
+    right = left if others is None else _sides(others, counts)
     for x, a in left:
         for y, b in right:
             if others is None and y < x:

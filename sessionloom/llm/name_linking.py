@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.name_filter import candidates
+from sessionloom.llm.name_filter import candidates, rare
 from sessionloom.llm.names import Reading, comparable, compare, read
 from sessionloom.llm.pairs import pairs_within
 from sessionloom.tables import written
@@ -80,11 +80,10 @@ def _links(a: tuple, b: tuple) -> list[tuple[int, int, str, float]]:
         return []
     df = s | t
 
-    def rare(p: str, q: str) -> bool:
-        low, high = sorted((df[p], df[q]))
-        return low <= 1 or low <= 3 and 2 * low <= high or 10 * low <= high
+    def may_be_one(p: str, q: str) -> bool:
+        return rare(*sorted((df[p], df[q])))
 
-    there, back = compare(x, y, rare), compare(y, x, rare)
+    there, back = compare(x, y, may_be_one), compare(y, x, may_be_one)
     if any(m and m.kind == "same" for m in (there, back)):
         score = max(m.score for m in (there, back) if m)
         return [(i, j, "same", score), (j, i, "same", score)]
@@ -103,7 +102,8 @@ def _block(rows: list[tuple], i: int, j: int) -> Iterator[tuple[int, int, str, f
     if len(mine) + len(others) <= FEW:
         pairs = itertools.combinations(mine, 2) if i == j else itertools.product(mine, others)
     else:
-        found = candidates([r for _, r, _ in mine], None if i == j else [r for _, r, _ in others])
+        counts = {t: n for _, _, d in itertools.chain(mine, others) for t, n in d.items()}
+        found = candidates([r for _, r, _ in mine], None if i == j else [r for _, r, _ in others], counts)
         pairs = ((mine[x], others[y]) for x, y in found)
     for s, t in pairs:
         yield from _links(*((s, t) if s[0] < t[0] else (t, s)))

@@ -153,6 +153,17 @@ def test_the_filter_keeps_every_pair_that_may_be_linked(seed):
     assert {(i, j) for i, j in want if i < 150 <= j} <= {(i, j + 150) for i, j in candidates(a, b)}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_the_filter_by_frequencies_keeps_every_link(seed):
+    rnd = random.Random(seed)
+    rs = people(rnd, 200)
+    counts = {t: rnd.choice((1, 2, 3, 4, 8, 40)) for r in rs for t in r.tokens}
+    records = [(k, r, {t: counts[t] for t in r.tokens}) for k, r in enumerate(rs)]
+    want = {(i, j) for i in range(len(rs)) for j in range(i + 1, len(rs)) if L._links(records[i], records[j])}
+    got = [tuple(sorted(p)) for p in candidates(rs, counts=counts)]
+    assert len(want) > 10 and want <= set(got) and len(got) < len(list(candidates(rs)))
+
+
 def test_a_large_block_compares_few_pairs_in_full():
     """Readings that share a suffix and nothing else: their pairs are not all compared one by one."""
     rnd = random.Random(7)
