@@ -62,34 +62,54 @@ def longest_match(words: Column, sought: Column, size: int = ENDS, compat: bool
 
     Runs of ``size`` down to SHORTEST words are tried; with ``compat`` only ``size`` and ``size - 1``.
     """
-    tries = []
-    for n in range(size, (size - 2 if compat else SHORTEST - 1), -1):
-        for at in range(size - n + 1):
-            place = first_match(words, F.slice(sought, at + 1, n))
-            tries.append(F.when((F.size(sought) >= at + n) & place.isNotNull(), F.struct(place.cast("int").alias("place"), F.lit(at).alias("sought_at"), F.lit(n).alias("n"))))
-    return F.coalesce(*tries)
 
+    def tried(w: Column, s: Column, near: Column, at: int, n: int) -> Column:
+        run = F.slice(s, at + 1, n)
+        place = once(run, lambda r: F.get(F.filter(near, lambda k: F.slice(w, k + 1, n) == r), F.lit(0)))
+        return F.when(F.size(s) >= at + n, once(place, lambda k: F.when(k.isNotNull(), F.struct(k.cast("int").alias("place"), F.lit(at).alias("sought_at"), F.lit(n).alias("n")))))
 
-def edges(texts: DataFrame, heard: DataFrame, compat: bool = False) -> DataFrame:
-    """(key, start, end, first_word, last_word): texts (key, words, duration) against heard (key, side 'begin'|'end', pos, start, end, word).
+    def longest(w: Column, s: Column) -> Column:
+        # the words are gone through once: a run can only begin where one of the sought words stands
+        near = F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0))), lambda k: F.array_contains(s, F.get(w, k)))
+        runs = [(at, n) for n in range(size, (size - 2 if compat else SHORTEST - 1), -1) for at in range(size - n + 1)]
+        return once(near, lambda p: F.coalesce(*[tried(w, s, p, at, n) for at, n in runs]))
+
+    return once(words, lambda w: once(sought, lambda s: longest(w, s)))
+
+
+def is_word(heard: Column) -> Column:
+    """Whether what was heard is a word that lasts, and no silence."""
+    return (heard["word"] != "<sil>") & (heard["end"] > heard["start"])
+
+
+def edges_within(texts: DataFrame, compat: bool = False) -> DataFrame:
+    """texts (words, duration, begin, end, ...) with start, end, first_word, last_word in place of begin and end, the words heard in order in either part.
 
-    Times are seconds in the whole audio: the part's offset is added, and the end is padded. Null where nothing matches.
+    Both are arrays of struct(start, end, word, ...). Each row is judged by itself: nothing is moved. Times are seconds in
+    the whole audio: the part's offset is added, and the end is padded. Null where nothing matches.
     """
-    said = heard.where((F.col("word") != "<sil>") & (F.col("end") > F.col("start")))
-    lists = said.groupBy("key", "side").agg(F.array_sort(F.collect_list(F.struct("pos", "start", "end", "word"))).alias("w"))
-    side = lambda s: lists.where(F.col("side") == s).select("key", F.col("w").alias(s))
-    here = texts.join(side("begin"), "key", "left").join(side("end"), "key", "left")
     parts = searched_parts(F.col("duration"))
-    word = lambda c: F.transform(c, lambda x: x["word"])
-    first = longest_match(word(F.col("begin")), F.slice("words", 1, ENDS), compat=compat)
+    first = longest_match(F.col("begin")["word"], F.slice("words", 1, ENDS), compat=compat)
     n = F.size("words")
     # the ending is sought from behind, so that the last occurrence and the last words win
     tail = F.reverse(F.slice("words", F.greatest(n - ENDS, F.lit(0)) + 1, F.lit(ENDS)))
-    last = longest_match(F.reverse(word(F.col("end"))), tail, compat=compat)
-    here = here.withColumn("b", first).withColumn("e", last)
+    last = longest_match(F.reverse(F.col("end")["word"]), tail, compat=compat)
+    here = texts.withColumns({"b": first, "e": last})
     start = F.get(parts, F.lit(0))["offset"] + F.get("begin", F.col("b.place"))["start"]
-    end = F.get(parts, F.lit(1))["offset"] + F.get(F.reverse("end"), F.col("e.place"))["end"] + PADDING
-    return here.select("key", F.round(start, 3).alias("start"), F.round(end, 3).alias("end"), F.col("b.sought_at").alias("first_word"), (n - 1 - F.col("e.sought_at")).alias("last_word"))
+    end = F.get(parts, F.lit(1))["offset"] + F.get("end", F.size("end") - 1 - F.col("e.place"))["end"] + PADDING
+    kept = [c for c in texts.columns if c not in ("begin", "end")]
+    return here.select(*kept, F.round(start, 3).alias("start"), F.round(end, 3).alias("end"), F.col("b.sought_at").alias("first_word"), (n - 1 - F.col("e.sought_at")).alias("last_word"))
+
+
+def edges(texts: DataFrame, heard: DataFrame, compat: bool = False) -> DataFrame:
+    """(key, start, end, first_word, last_word): texts (key, words, duration) against heard (key, side 'begin'|'end', pos, start, end, word).
+
+    Times are as in ``edges_within``, which takes the words heard as arrays.
+    """
+    word = F.struct("pos", "start", "end", "word")
+    lists = heard.where(is_word(word)).groupBy("key").agg(*[F.sort_array(F.collect_list(F.when(F.col("side") == s, word))).alias(s) for s in ("begin", "end")])
+    # merged, as the planner takes the lists for as small as the rows in their files and would send them whole to every executor
+    return edges_within(texts.join(lists.hint("merge"), "key", "left"), compat).select("key", "start", "end", "first_word", "last_word")
 
 
 def cropped_text(words: Column, first: Column, last: Column) -> Column:
